@@ -47,6 +47,10 @@ def not_prefixed(col: Column, prefix: str) -> Column:
     return ~F.coalesce(F.startswith(col, F.lit(prefix)), F.lit(False))
 
 
+def ratio(part: Column, whole: Column) -> Column:
+    """part / whole as a double, NULL on a zero or NULL divisor."""
+    return F.try_divide(part.cast("double"), whole.cast("double"))
+
+
 def safe_pct(part: Column, whole: Column) -> Column:
-    """100 * part / whole, NULL on a zero or NULL divisor."""
-    return F.try_divide(part, whole) * 100
+    return ratio(part, whole) * 100

@@ -181,7 +181,7 @@ def with_tables(body: str, extra: dict[str, str] | None = None) -> str:
 
     def visit(text: str, inside: str | None) -> None:
         for name in known:
-            if name != inside and name not in order and re.search(rf"\b(FROM|JOIN|,)\s+{name}\b", text):
+            if name != inside and name not in order and re.search(rf"\b(FROM|JOIN|UNPIVOT|,)\s+{name}\b", text):
                 visit(known[name], name)
                 if name not in order:
                     order.append(name)
