@@ -19,7 +19,7 @@ def stacked(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) ->
     return df.select(*keep, F.inline(F.array(*cells)))
 
 
-def column_quantiles(df: DataFrame, columns: Sequence[str], probs: dict[str, float], groups: Sequence[str] = (), few_values: bool = False) -> DataFrame:
+def column_quantiles(df: DataFrame, columns: Sequence[str], probs: dict[str, float], groups: Sequence[str] = (), few_values: bool | None = None) -> DataFrame:
     """Exact quantiles of several columns in one pass: one row per group and column."""
     return quantiles(stacked(df, columns, groups), [*groups, "column"], "value", probs, few_values)
 
@@ -33,7 +33,7 @@ def fill_medians(df: DataFrame, columns: Sequence[str], source: DataFrame | None
     )
 
 
-def group_medians(df: DataFrame, group: str, columns: Sequence[str], few_values: bool = False) -> DataFrame:
+def group_medians(df: DataFrame, group: str, columns: Sequence[str], few_values: bool | None = None) -> DataFrame:
     """One row per group, one median column per input column."""
     found = column_quantiles(df, columns, {"median": 0.5}, [group], few_values)
     return found.groupBy(group).agg(

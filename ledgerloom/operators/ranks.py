@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Distinct values of one group that a single task may hold.
+FEW_VALUES = 200_000
+
 
 def seeded_hash(key: Column, seed: int) -> Column:
     """Hex digest of seed and key: the same order on every run, cluster size and engine."""
@@ -47,77 +50,81 @@ def quantiles(
     groups: Sequence[str],
     value: str,
     probs: dict[str, float],
-    few_values: bool = False,
+    few_values: bool | None = None,
     bins: int = 4096,
     salts: int = 16,
 ) -> DataFrame:
     """Exact interpolated quantiles per group: one row per group, one column per entry of `probs` (name -> p).
 
-    NULLs are ignored. Equal values are counted first, so repeated values cost nothing. With `few_values` the
-    distinct values of a group are known to be few (flags, small counts) and the built-in percentile over the
-    counts finishes. Otherwise the wanted ranks are located in a histogram, again in a histogram of the hit cells,
-    and only the values of the remaining cells are ordered; no step holds a whole group.
+    NULLs are ignored. Equal values are counted first, so repeated values cost nothing. When no group has more
+    than FEW_VALUES distinct values (checked by a count unless `few_values` says so), the built-in percentile over
+    the counts finishes. Otherwise the wanted ranks are located in a histogram, again in a histogram of the hit
+    cells, and only the values of the remaining cells are ordered; no step holds a whole group.
     """
     keys = list(groups) or ["_all"]
     base = df if groups else df.withColumn("_all", F.lit(0))
-    base = base.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    base = base.dropna(subset=[*keys, value]).select(*keys, F.col(value).cast("double").alias("_v"))
     counted = base.groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
+    if few_values is None:
+        widest = counted.groupBy(*keys).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0]
+        few_values = (widest or 0) <= FEW_VALUES
     if few_values:
         out = counted.groupBy(*keys).agg(
             *[F.percentile("_v", F.lit(p), F.col("_c")).alias(n) for n, p in probs.items()]
         )
         return out if groups else out.drop("_all")
 
-    scope = counted.groupBy(*keys).agg(
-        F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.sum("_c").alias("_size")
-    )
-    position = {n: F.lit(p) * (F.col("_size") - 1) for n, p in probs.items()}
-    ranks = F.array_distinct(
-        F.flatten(F.array(*[F.array(F.floor(x), F.ceil(x)) for x in position.values()]))
-    )
-    wanted = scope.select(*keys, F.explode(ranks).alias("_rank"))
-
     # Level 1: the range of a group is copied to every salt, so a hot group is spread over `salts` tasks.
-    salted = scope.select(*keys, "_low", "_high", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    spread = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
+    scope = counted.groupBy(*keys).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
     placed = (
         counted.withColumn("_salt", F.pmod(F.hash("_v"), F.lit(salts)).cast("int"))
-        .join(salted, [*keys, "_salt"])
+        .join(scope.select(*keys, "_low", "_high", spread), [*keys, "_salt"])
         .select(*keys, "_v", "_c", _cell("_v", "_low", "_high", bins).alias("_cell"))
     )
-    hit = _hit_cells(placed, keys, "_cell", wanted, None)
+    cells = placed.groupBy(*keys, "_cell").agg(
+        F.sum("_c").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
+    )
+    position = {n: F.lit(p) * (F.col("_size") - 1) for n, p in probs.items()}
+    both_sides = F.array(*[f(x) for x in position.values() for f in (F.floor, F.ceil)])
+    hit = (
+        cells.withColumn("_size", F.sum("_n").over(Window.partitionBy(*keys)))
+        .withColumn("_start", _before("_n", keys, "_cell"))
+        .withColumn("_ranks", _inside(F.array_distinct(both_sides), "_start", "_n"))
+        .filter(F.size("_ranks") > 0)
+        .select(*keys, "_cell", "_low", "_high", "_size", "_start", "_ranks")
+    )
 
     # Level 2: the same inside the hit cells, with their own smallest and largest value as the range.
-    inner = placed.join(hit.select(*keys, "_cell", "_low", "_high").distinct(), [*keys, "_cell"])
-    inner = inner.withColumn("_fine", _cell("_v", "_low", "_high", bins))
-    fine = _hit_cells(inner, [*keys, "_cell"], "_fine", hit.select(*keys, "_cell", "_rank"), hit)
-
-    rows = inner.join(fine.select(*keys, "_cell", "_fine", "_start").distinct(), [*keys, "_cell", "_fine"])
-    earlier = Window.partitionBy(*keys, "_cell", "_fine").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_start", F.col("_start") + F.coalesce(F.sum("_c").over(earlier), F.lit(0)))
-    found = rows.join(fine.select(*keys, "_cell", "_fine", "_rank").distinct(), [*keys, "_cell", "_fine"]).filter(
-        (F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_start") + F.col("_c"))
+    inner = placed.join(hit, [*keys, "_cell"]).withColumn("_fine", _cell("_v", "_low", "_high", bins))
+    fine = inner.groupBy(*keys, "_cell", "_fine", "_start", "_ranks").agg(F.sum("_c").alias("_n"))
+    fine = (
+        fine.withColumn("_from", F.col("_start") + _before("_n", [*keys, "_cell"], "_fine"))
+        .withColumn("_left", _inside(F.col("_ranks"), "_from", "_n"))
+        .filter(F.size("_left") > 0)
+        .select(*keys, "_cell", "_fine", "_from", "_left")
     )
-    values = found.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_set(F.struct("_rank", "_v"))).alias("_at")
+
+    # The values of the remaining cells, in order; each wanted rank falls on one of them.
+    rows = inner.select(*keys, "_cell", "_fine", "_v", "_c", "_size").join(fine, [*keys, "_cell", "_fine"])
+    rows = rows.withColumn("_from", F.col("_from") + _before("_c", [*keys, "_cell", "_fine"], "_v"))
+    rows = rows.select(*keys, "_size", "_v", F.explode(_inside(F.col("_left"), "_from", "_c")).alias("_rank"))
+    found = rows.groupBy(*keys).agg(
+        F.max("_size").alias("_size"), F.map_from_entries(F.collect_set(F.struct("_rank", "_v"))).alias("_at")
     )
-    out = scope.join(values, keys)
     cols = []
     for name, x in position.items():
         low, high = F.element_at("_at", F.floor(x)), F.element_at("_at", F.ceil(x))
         cols.append((low + (high - low) * (x - F.floor(x))).alias(name))
-    return out.select(*(keys if groups else []), *cols)
+    return found.select(*(keys if groups else []), *cols)
 
 
-def _hit_cells(placed, keys, cell, wanted, outer):
-    """Cells holding a wanted rank, with the rank of their first row and their value range."""
-    cells = placed.groupBy(*keys, cell).agg(
-        F.sum("_c").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
-    )
-    earlier = Window.partitionBy(*keys).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    if outer is not None:
-        base = outer.select(*keys, F.col("_start").alias("_base")).distinct()
-        cells = cells.join(base, keys).withColumn("_start", F.col("_start") + F.col("_base")).drop("_base")
-    return cells.join(wanted, keys).filter(
-        (F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_start") + F.col("_n"))
-    )
+def _before(count: str, keys: Sequence[str], order: str) -> Column:
+    """Running count of the earlier rows."""
+    window = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(count).over(window), F.lit(0))
+
+
+def _inside(ranks: Column, start: str, count: str) -> Column:
+    """The ranks that fall on rows start .. start + count - 1."""
+    return F.filter(ranks, lambda rank: (rank >= F.col(start)) & (rank < F.col(start) + F.col(count)))

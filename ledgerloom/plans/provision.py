@@ -114,16 +114,20 @@ def provision_movement(
     """Movement rows of all segments in one pass, with the segment as a column.
 
     Prior and current snapshot are matched by contract number in a full outer join; a contract number stands for
-    one contract, so method and excluded product are the same on both sides. The contract, application, rate and
-    write-off sides are the same subplan in both snapshots, so their exchanges are computed once and reused.
+    one contract, so method and excluded product are the same on both sides. Each side is the same plan with its
+    own month, which reaches the overview scan (one partition per side); the contract, application, rate and
+    write-off subplans are equal on both sides, so their exchanges are computed once and reused.
     """
 
+    rows = written_down_snapshot(
+        overview, contract, application, rates, writeoff, [prior, current], write_down_after, segments, tie
+    )
+    shared = ("mo", "text_contract_number")
+
     def snapshot(month: str, suffix: str) -> DataFrame:
-        rows = written_down_snapshot(
-            overview, contract, application, rates, writeoff, [month], write_down_after, segments, tie
-        )
-        return rows.drop("mo").select(
-            "text_contract_number", *[F.col(c).alias(f"{c}_{suffix}") for c in rows.columns if c not in ("mo", "text_contract_number")]
+        side = rows.filter(F.col("mo") == month)
+        return side.select(
+            "text_contract_number", *[F.col(c).alias(f"{c}_{suffix}") for c in rows.columns if c not in shared]
         )
 
     both = snapshot(prior, "pre").join(snapshot(current, "cur"), "text_contract_number", "full_outer")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,15 +34,28 @@ def contract_number(key: Column) -> Column:
     return F.concat(F.lit("C"), F.lpad(key.cast("string"), 10, "0"))
 
 
+def once(method):
+    """Build the frame of a derived table once per `Tables`, so that a query analyses it only once."""
+
+    @wraps(method)
+    def built(self):
+        if method.__name__ not in self._built:
+            self._built[method.__name__] = method(self)
+        return self._built[method.__name__]
+
+    return built
+
+
 class Tables:
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder, self._built = spark, folder, {}
 
     def __call__(self, name: str) -> DataFrame:
         return warehouse_table(self.spark, self.folder, name)
 
     # --- loan book -------------------------------------------------------------------------------------------
 
+    @once
     def contract(self) -> DataFrame:
         nation, key = F.col("c_nationkey"), F.col("c_custkey")
         method = None
@@ -56,7 +71,9 @@ class Tables:
             F.col("c_name").alias("name_product"),
         )
 
-    def acc_source(self) -> DataFrame:
+    @once
+    def _accounts(self) -> DataFrame:
+        """Order totals per contract and month with the contract's attributes."""
         key = F.col("skp_credit_case")
         monthly = (
             self("orders")
@@ -65,26 +82,30 @@ class Tables:
         )
         index = F.substring("mo", 1, 4).cast("int") * 12 + F.substring("mo", 6, 2).cast("int")
         dpd = ((key * 7 + index * 31) % 1230 - 30).cast("int")
-        methods = self.contract().select("skp_credit_case", "code_accounting_method")
-        status = F.when(key % 41 == 0, None).when((F.col("s") == "P") & (key % 5 == 0), 3).otherwise(1)
-        suffix = F.when(dpd <= -15, "abnc").otherwise(credit.bucket_suffix(dpd))
-        return monthly.join(methods, "skp_credit_case").select(
-            "mo",
-            "skp_credit_case",
-            F.concat("code_accounting_method", F.lit("-"), suffix).alias("code_cross"),
-            money("p", 18, 4).alias("amt_principal"),
-            money(F.col("p") * dec("0.10"), 18, 4).alias("amt_interest"),
-            money(F.col("p") * dec("0.01"), 18, 4).alias("amt_penalty"),
-            dpd.alias("dpd"),
-            F.greatest(dpd, F.lit(0)).alias("dpd_original"),
-            status.cast("int").alias("skp_credit_status"),
+        contracts = self.contract().select("skp_credit_case", "code_accounting_method", "type_product")
+        suffix = F.when(F.col("dpd") <= -15, "abnc").otherwise(credit.bucket_suffix(F.col("dpd")))
+        return monthly.join(contracts, "skp_credit_case").withColumn("dpd", dpd).withColumns(
+            {
+                "code_cross": F.concat("code_accounting_method", F.lit("-"), suffix),
+                "amt_principal": money("p", 18, 4),
+                "amt_interest": money(F.col("p") * dec("0.10"), 18, 4),
+                "amt_penalty": money(F.col("p") * dec("0.01"), 18, 4),
+                "skp_credit_status": F.when(key % 41 == 0, None).when((F.col("s") == "P") & (key % 5 == 0), 3).otherwise(1).cast("int"),
+            }
+        )
+
+    @once
+    def acc_source(self) -> DataFrame:
+        return self._accounts().select(
+            "mo", "skp_credit_case", "code_cross", "amt_principal", "amt_interest", "amt_penalty", "dpd",
+            F.greatest("dpd", F.lit(0)).alias("dpd_original"), "skp_credit_status",
         )
 
+    @once
     def overview(self) -> DataFrame:
         key = F.col("skp_credit_case")
-        types = self.contract().select("skp_credit_case", "code_accounting_method", "type_product")
         pre = credit.bucket_suffix(F.col("dpd") - 31)
-        return self.acc_source().join(types, "skp_credit_case").select(
+        return self._accounts().select(
             "mo",
             "skp_credit_case",
             "code_cross",
@@ -100,6 +121,7 @@ class Tables:
             F.when(key % 10 == 0, "Y").otherwise("N").alias("flag_covid"),
         )
 
+    @once
     def writeoff(self) -> DataFrame:
         """First ship month of a returned line per customer; lines are reduced to orders before the join."""
         first = self("lineitem").filter("l_returnflag = 'R'").groupBy("l_orderkey").agg(F.min("l_shipdate").alias("d"))
@@ -109,6 +131,7 @@ class Tables:
             .agg(month_text(F.min("d"), DOT).alias("mo"))
         )
 
+    @once
     def application(self) -> DataFrame:
         kind = F.col("event_type")
         return self("events").select(
@@ -119,6 +142,7 @@ class Tables:
             "event_id",
         )
 
+    @once
     def provisioning_rate(self) -> DataFrame:
         """Rate per bucket code and month, for the buckets and months that occur; some are left out."""
         number = F.coalesce(F.expr("try_cast(substring(suffix, 2) AS int)"), F.lit(0))
@@ -131,6 +155,7 @@ class Tables:
             (number * dec("0.0008") + dec("0.0010")).cast("decimal(9,6)").alias("rate_provisioning_stage_2_3"),
         )
 
+    @once
     def contract_deter(self) -> DataFrame:
         key = F.col("c_custkey")
         at = lambda text: F.lit(text).cast("timestamp")
@@ -141,6 +166,7 @@ class Tables:
             F.when(key % 11 == 0, None).when(F.col("c_acctbal") < 0, 1).otherwise(0).alias("flag_deterioration"),
         )
 
+    @once
     def covid_flag(self) -> DataFrame:
         key = F.col("c_custkey")
         at = lambda text: F.lit(text).cast("timestamp")
@@ -150,6 +176,7 @@ class Tables:
             F.when(key % 4 == 0, at("1997-07-31 11:00:00")).otherwise(at("1997-07-10 00:00:00")).alias("date_application"),
         )
 
+    @once
     def industry_covid(self) -> DataFrame:
         key = F.col("c_custkey")
         return self("customer").filter(key % 2 == 0).select(
@@ -158,6 +185,7 @@ class Tables:
             F.when(key % 4 == 0, 1).otherwise(0).alias("impact_by_covid"),
         )
 
+    @once
     def _line_amounts(self) -> DataFrame:
         owner = self("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("skp_credit_case"))
         lines = self("lineitem").select(
@@ -169,6 +197,7 @@ class Tables:
         )
         return lines.join(owner, "l_orderkey")
 
+    @once
     def writeoff_acc(self) -> DataFrame:
         rows = self._line_amounts().filter("l_returnflag = 'R'").groupBy("skp_credit_case", "mo").agg(
             F.sum("amount").cast("decimal(18,2)").alias("a")
@@ -181,6 +210,7 @@ class Tables:
             money(F.col("a") * dec("0.001"), 18, 4).alias("amt_penalty"),
         )
 
+    @once
     def writeoff_acc_dd(self) -> DataFrame:
         rows = self._line_amounts().filter("l_returnflag = 'A'").groupBy("skp_credit_case", "mo").agg(
             F.sum("amount").cast("decimal(18,2)").alias("a")
@@ -191,6 +221,7 @@ class Tables:
             *[money(F.col("a") * dec(f), 18, 4).alias(n) for n, f in (("sum_176", "0.10"), ("sum_177", "0.01"), ("sum_178", "0.001"))],
         )
 
+    @once
     def cre_adjustment(self) -> DataFrame:
         line = lambda n: F.coalesce(F.sum(F.when(F.col("l_linenumber") == n, F.col("amount"))), F.lit(0))
         sums = [(line(i + 1).cast("decimal(18,2)") * dec("0.01")).cast("decimal(18,4)").alias(f"amt_move_{m}") for i, m in enumerate(MOVES)]
@@ -199,6 +230,7 @@ class Tables:
 
     # --- batches ---------------------------------------------------------------------------------------------
 
+    @once
     def batch_usage(self) -> DataFrame:
         parts = self("part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type", "p_size")
         sites = self("supplier").select(F.col("s_suppkey").alias("l_suppkey"), (F.col("s_nationkey") % 4).alias("f"))
@@ -218,6 +250,7 @@ class Tables:
             change.alias("diff_percent"),
         )
 
+    @once
     def item_cost(self) -> DataFrame:
         """Four cost rows per part: two periods, then a renamed item, then one with an unreadable cost."""
         price = money("p_retailprice", 12, 2)
@@ -236,6 +269,7 @@ class Tables:
 
     # --- sales series ----------------------------------------------------------------------------------------
 
+    @once
     def sales_txn(self) -> DataFrame:
         """Order totals; the last month holds two rows only and is left out."""
         return self("orders").filter(F.col("o_orderdate") < F.lit("2001-08-01").cast("timestamp")).select(
@@ -245,17 +279,20 @@ class Tables:
             "o_custkey",
         )
 
+    @once
     def monthly_sales(self) -> DataFrame:
         return self.sales_txn().groupBy(month_text(F.col("trx_date")).alias("year_month")).agg(
             F.sum("sale").cast("double").alias("total_sale")
         )
 
+    @once
     def group_sales(self) -> DataFrame:
         """Month x group totals, group = order priority."""
         return self.sales_txn().groupBy(
             month_text(F.col("trx_date")).alias("year_month"), F.col("o_orderpriority").alias("grp")
         ).agg(F.sum("sale").cast("double").alias("qty"))
 
+    @once
     def channel_sales(self) -> DataFrame:
         """Month x channel: sales and average price, channel = market segment of the customer."""
         channel = self("customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("channel"))
@@ -266,6 +303,7 @@ class Tables:
             (F.sum("sale").cast("double") / F.count("*")).alias("asp"),
         )
 
+    @once
     def macro(self) -> DataFrame:
         """Monthly regressors from the ship month: three rates, a price and two spend series."""
         month = month_text(F.col("l_shipdate"), DASH).alias("year_month")
@@ -280,6 +318,7 @@ class Tables:
             (F.sum(F.when(F.col("l_linestatus") == "O", money("l_extendedprice"))).cast("double") / 1e6).alias("mkt_new"),
         )
 
+    @once
     def mkt_ledger(self) -> DataFrame:
         """Ledger lines of a spend account: period 'm-yy' and amount with thousands separators, both as text."""
         day = F.col("l_shipdate")
@@ -291,6 +330,7 @@ class Tables:
 
     # --- forms and customers ---------------------------------------------------------------------------------
 
+    @once
     def customer_orders(self) -> DataFrame:
         """Order figures per customer; orders are aggregated before the join."""
         per = self("orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
@@ -303,6 +343,7 @@ class Tables:
         )
         return self("customer").join(per, "c_custkey", "left")
 
+    @once
     def form_text(self) -> DataFrame:
         """One form per customer, its fields set from the customer's orders; fields are missing for some."""
         key, n = F.col("c_custkey"), F.coalesce("n_orders", F.lit(0))
@@ -332,6 +373,7 @@ class Tables:
             F.when(key % 100 == 99, F.lit(" \n")).otherwise(text).alias("text"),
         )
 
+    @once
     def ar_site(self) -> DataFrame:
         """One site per order: half the orders ship, the rest bill."""
         key, cust, nation = F.col("o_orderkey"), F.col("o_custkey"), F.col("c_nationkey")
@@ -355,6 +397,7 @@ class Tables:
             F.when(cust % 23 == 0, None).otherwise(category).alias("category_code"),
         )
 
+    @once
     def video_post(self) -> DataFrame:
         """Labelled documents: claim/opinion from the quality label, verified from the toxic label."""
         words = F.size(F.split("text", r"\s+"))
@@ -371,6 +414,7 @@ class Tables:
             "text",
         )
 
+    @once
     def employee(self) -> DataFrame:
         """Customers as staff: projects from order counts, hours from order values, tenure from order dates."""
         key = F.col("c_custkey")
@@ -397,6 +441,7 @@ class Tables:
 
     # --- ledger ----------------------------------------------------------------------------------------------
 
+    @once
     def gl_entries(self) -> DataFrame:
         """Cost postings: unit = nation of the supplier, account segment and reason from the line, group = part type."""
         units = self("supplier").join(self("nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(

@@ -29,6 +29,11 @@ def forms(t: Tables):
     return fm.extract_fields(readable)
 
 
+def saved_forms(t: Tables):
+    """The extracted fields, written once and read back."""
+    return sinks.reuse_or_build(t.spark, f"{scratch(t.spark)}/forms", lambda: forms(t))
+
+
 # --- documents --------------------------------------------------------------------------------------------------
 
 
@@ -246,7 +251,7 @@ LABELLED = {
 
 @query("ml14_median_imputation", "SELECT l.filename, " + ", ".join(r(f"coalesce(l.{c}, m.{c})", c) for c in fm.NUMERIC) + " FROM lab l, med m", LABELLED)
 def _(t: Tables):
-    return pf.fill_medians(fm.labelled(forms(t)), fm.NUMERIC).select("filename", *fm.NUMERIC)
+    return pf.fill_medians(fm.labelled(saved_forms(t)), fm.NUMERIC).select("filename", *fm.NUMERIC)
 
 
 @query("ml15_standardise", "SELECT emp_id, " + ", ".join(r(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()", f"{c}_z") for c in STAFF[:4]) + " FROM employee")
@@ -267,7 +272,7 @@ GROUP_SQL = "CASE WHEN loai_hinh_code IN ('BVXX', 'BVCD') THEN 'HOSPITAL' WHEN l
     LABELLED,
 )
 def _(t: Tables):
-    return fm.feature_frame(forms(t))[0]
+    return fm.feature_frame(saved_forms(t))[0]
 
 
 RANKED = {
