@@ -35,6 +35,12 @@ def parse_mm_yy(period: Column) -> Column:
     )
 
 
+def month_index(month: Column, sep: str = DASH) -> Column:
+    """Months since year 0, so that neighbouring months differ by one across year ends."""
+    parts = F.split(month, f"[{sep}]")
+    return parts[0].cast("int") * 12 + parts[1].cast("int")
+
+
 def _index(month: str, sep: str) -> int:
     year, number = month.split(sep)
     return int(year) * 12 + int(number) - 1

@@ -91,16 +91,19 @@ def without_collinear(df: DataFrame, columns: Sequence[str], threshold: float =
 
 def missing_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows, missing values, quartiles, 1.5-IQR fences and outliers per column."""
-    cells = stacked(df, columns)
-    counts = cells.groupBy("column").agg(F.count("*").alias("n"), F.count_if(F.col("value").isNull()).alias("missing"))
     fences = column_quantiles(df, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     spread = F.col("q3") - F.col("q1")
     fences = fences.withColumn("low", F.col("q1") - 1.5 * spread).withColumn("high", F.col("q3") + 1.5 * spread)
-    box = fences.select(F.map_from_entries(F.collect_list(F.struct(F.col("column"), F.struct("low", "high"))))).scalar()
+    names = ("q1", "median", "q3", "low", "high")
+    box = fences.select(F.map_from_entries(F.collect_list(F.struct(F.col("column"), F.struct(*names))))).scalar()
     limit = F.try_element_at(box, F.col("column"))
     outside = (F.col("value") < limit["low"]) | (F.col("value") > limit["high"])
-    outliers = cells.groupBy("column").agg(F.count_if(outside).alias("outliers"))
-    return counts.join(fences, "column", "left").join(outliers, "column")
+    counts = stacked(df, columns).groupBy("column").agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("value").isNull()).alias("missing"),
+        F.count_if(outside).alias("outliers"),
+    )
+    return counts.select("*", *[limit[c].alias(c) for c in names])
 
 
 def t_test(df: DataFrame, group: str, first: str, second: str, value: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Distinct values of one group that a single task may hold.
+# Distinct values of one group that a single task may hold (a few megabytes of value counts).
 FEW_VALUES = 200_000
 
 
@@ -57,7 +57,7 @@ def quantiles(
     """Exact interpolated quantiles per group: one row per group, one column per entry of `probs` (name -> p).
 
     NULLs are ignored. Equal values are counted first, so repeated values cost nothing. When no group has more
-    than FEW_VALUES distinct values (checked by a count unless `few_values` says so), the built-in percentile over
+    than FEW_VALUES distinct values (checked by a sketch per group unless `few_values` says so), the built-in percentile over
     the counts finishes. Otherwise the wanted ranks are located in a histogram, again in a histogram of the hit
     cells, and only the values of the remaining cells are ordered; no step holds a whole group.
     """
@@ -66,7 +66,7 @@ def quantiles(
     base = base.dropna(subset=[*keys, value]).select(*keys, F.col(value).cast("double").alias("_v"))
     counted = base.groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
     if few_values is None:
-        widest = counted.groupBy(*keys).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0]
+        widest = base.groupBy(*keys).agg(F.approx_count_distinct("_v").alias("_n")).agg(F.max("_n")).first()[0]
         few_values = (widest or 0) <= FEW_VALUES
     if few_values:
         out = counted.groupBy(*keys).agg(

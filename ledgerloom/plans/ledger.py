@@ -99,14 +99,15 @@ def star_join(facts: DataFrame, dimensions: Sequence[tuple[DataFrame, str]]) ->
 def cost_pack(entries: DataFrame, unit: str = "unit") -> DataFrame:
     """Unit x month: net cost, year to date, year on year, share of the month, cost per kg, cost as % of revenue.
 
-    Cost, weight and revenue come from one aggregate; everything else works on its unit x month rows.
+    Cost, weight and revenue come from one aggregate; everything else works on its unit x month rows, which one
+    shuffle by unit serves for both the year-on-year and the year-to-date window.
     """
     monthly = entries.groupBy(unit, posting_month(F.col("effective_date")).alias("year_month")).agg(
         (nz(F.sum("accounted_dr")) - nz(F.sum("accounted_cr"))).alias("net_cost"),
         F.sum("qty_kg").alias("qty_kg"),
         F.sum("revenue").alias("revenue"),
     )
-    out = year_on_year(year_to_date(monthly, [unit], "net_cost"), [unit], "net_cost")
+    out = year_to_date(year_on_year(monthly, [unit], "net_cost"), [unit], "net_cost")
     month_total = F.sum("net_cost").over(Window.partitionBy("year_month"))
     return out.select(
         unit,

@@ -9,6 +9,7 @@ from ledgerloom.operators import regression as reg
 from ledgerloom.operators import series as ser
 from ledgerloom.operators.relational import merge_series
 from ledgerloom.plans import forecasting as fc
+from ledgerloom.session import cut_lineage
 from ledgerloom.sources.sinks import write_delimited
 from ledgerloom.sources.tables import csv_table
 from registry.analogues import Tables
@@ -40,7 +41,9 @@ CHANNEL = {
 
 
 def frame(t: Tables):
-    return fc.model_frame(t.monthly_sales(), [t.macro()], LOGS, {"log_mkt_new": (1, 2, 3)}, **DIP)
+    """Months with all features. The scan of the transactions ends here: the few monthly rows are checkpointed, and
+    every fit and score after that reads them."""
+    return cut_lineage(fc.model_frame(t.monthly_sales(), [t.macro()], LOGS, {"log_mkt_new": (1, 2, 3)}, **DIP))
 
 
 def train(t: Tables):
@@ -51,7 +54,7 @@ def channel_train(t: Tables):
     macro = t.macro().drop("asp")
     logs = {**LOGS, "log_qty": ("qty", 0.001)}
     out = fc.model_frame(t.channel_sales(), [macro], logs, {"log_mkt_new": (1, 2, 3)}, ["channel"], **DIP)
-    return ser.split_by_month(out, TRAIN_END)[0]
+    return ser.split_by_month(cut_lineage(out), TRAIN_END)[0]
 
 
 # --- sink, filter, join, aggregate ------------------------------------------------------------------------------
@@ -326,7 +329,7 @@ FORECAST = {
     FORECAST,
 )
 def _(t: Tables):
-    table = fc.volume_forecast(t.monthly_sales(), TRAIN_END, **DIP)[2]
+    table = fc.volume_forecast(cut_lineage(t.monthly_sales()), TRAIN_END, **DIP)[2]
     return table.withColumns({c: F.round(c, 1) for c in ("actual", "predicted", "error")})
 
 
@@ -337,10 +340,11 @@ def _(t: Tables):
     FORECAST,
 )
 def _(t: Tables):
-    frame_ = fc.forecast_frame(t.monthly_sales(), **DIP).dropna(subset=fc.FORECAST_FEATURES)
+    monthly = cut_lineage(t.monthly_sales())
+    frame_ = fc.forecast_frame(monthly, **DIP).dropna(subset=fc.FORECAST_FEATURES)
     inside, rest = ser.split_by_month(frame_, TRAIN_END)
     fit = reg.fit_ols(inside, "total_sale", {"volume": fc.FORECAST_FEATURES})
-    return fc.baseline_gain(t.monthly_sales(), reg.score_ols(rest, fit, fc.FORECAST_FEATURES), TRAIN_END)
+    return fc.baseline_gain(monthly, reg.score_ols(rest, fit, fc.FORECAST_FEATURES), TRAIN_END)
 
 
 VERDICT = "CASE WHEN r2 < 0.05 THEN 'EXCLUDE: very weak explanatory power' WHEN r2 < 0.1 THEN 'EXCLUDE: weak explanatory power' WHEN p >= 0.05 THEN 'EXCLUDE: not significant' ELSE 'KEEP' END"
@@ -431,7 +435,7 @@ def _(t: Tables):
     FORECAST,
 )
 def _(t: Tables):
-    _, inside, table = fc.volume_forecast(t.monthly_sales(), TRAIN_END, **DIP)
+    _, inside, table = fc.volume_forecast(cut_lineage(t.monthly_sales()), TRAIN_END, **DIP)
     return inside.select("n", "r2", F.round("mae", 1).alias("mae"), "mape", table.select(F.avg("abs_error_pct")).scalar().alias("val_mape"))
 
 
