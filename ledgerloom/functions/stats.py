@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -64,6 +65,15 @@ def f_tail(f: float, d1: float, d2: float) -> float:
     return beta_inc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
 
 
+def pearson(a: Column, b: Column) -> Column:
+    """Aggregate: correlation over the rows where both are present, NULL for a constant side.
+
+    (`corr` raises a division by zero on a constant column in ANSI mode.)
+    """
+    x, y = F.when(b.isNotNull(), a.cast("double")), F.when(a.isNotNull(), b.cast("double"))
+    return F.try_divide(F.covar_pop(x, y), F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0)))
+
+
 def _missing(*values) -> bool:
     return any(v is None or v != v for v in values)
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.nulls import ratio, safe_pct
-from ledgerloom.functions.stats import t_pvalue
+from ledgerloom.functions.stats import pearson, t_pvalue
 from ledgerloom.operators.ranks import quantiles
 
 
@@ -70,7 +70,7 @@ def event_rate(df: DataFrame, level: str, flag: str) -> DataFrame:
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of columns, all pairs in one aggregate."""
     pairs = [
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("r"))
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), pearson(F.col(a), F.col(b)).alias("r"))
         for a, b in combinations(columns, 2)
     ]
     return df.agg(F.array(*pairs).alias("_p")).select(F.inline("_p"))

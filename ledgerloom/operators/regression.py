@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.nulls import ratio
-from ledgerloom.functions.stats import f_tail, t_critical_95, t_pvalue, t_two_sided
+from ledgerloom.functions.stats import f_tail, pearson, t_critical_95, t_pvalue, t_two_sided
 
 COEF = T.StructType(
     [T.StructField("feature", T.StringType())] + [T.StructField(n, T.DoubleType()) for n in ("coef", "se", "t", "p")]
@@ -218,8 +218,7 @@ def dominant_driver(df: DataFrame, target: str, features: Sequence[str], groups:
     """
     boxes = []
     for i, f in enumerate(features):
-        varies = F.stddev_pop(F.col(f)) > 0
-        r = F.when(varies, F.corr(F.col(f).cast("double"), F.col(target)))
+        r = pearson(F.col(f), F.col(target))
         boxes.append(F.struct(F.abs(r).alias("size"), F.lit(-i).alias("rank"), F.lit(f).alias("driver"), r.alias("beta")))
     best = df.groupBy(*groups).agg(F.array_max(F.filter(F.array(*boxes), lambda b: b["size"].isNotNull())).alias("_b"))
     return best.select(*groups, F.col("_b.driver").alias("driver"), F.col("_b.beta").alias("beta"))

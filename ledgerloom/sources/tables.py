@@ -51,5 +51,5 @@ def split_empty_documents(docs: DataFrame, text: str = "text") -> tuple[DataFram
 
 def document_folder(spark: SparkSession, folder: str, pattern: str = "*.txt") -> DataFrame:
     """One row per text file: filename, text."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(folder)
+    files = spark.read.text(folder, wholetext=True, pathGlobFilter=pattern)
     return files.select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("filename"), F.col("value").alias("text"))
