@@ -16,13 +16,14 @@ def seeded_hash(key: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")))
 
 
-def hash_rank(df: DataFrame, strata: Sequence[str], key: str, seed: int = 42) -> DataFrame:
+def hash_rank(df: DataFrame, strata: Sequence[str], key: str, seed: int = 42, digits: int = 4) -> DataFrame:
     """Add `_rank` (1..n in seeded-hash order) and `_size` (n) per stratum; `key` must be unique.
 
-    A stratum may hold most of the rows, so it is never one window: the first four hex digits cut it into 65,536
-    even slices, slices are counted, and the rank is the running count of earlier slices plus the rank inside.
+    A stratum may hold most of the rows, so it is never one window: the first `digits` hex digits cut it into even
+    slices (65,536 for four), slices are counted, and the rank is the running count of earlier slices plus the rank
+    inside.
     """
-    hashed = df.withColumn("_hash", seeded_hash(F.col(key), seed)).withColumn("_slice", F.substring("_hash", 1, 4))
+    hashed = df.withColumn("_hash", seeded_hash(F.col(key), seed)).withColumn("_slice", F.substring("_hash", 1, digits))
     keys = list(strata)
     slices = hashed.groupBy(*keys, "_slice").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -52,7 +53,7 @@ def quantiles(
     probs: dict[str, float],
     few_values: bool | None = None,
     bins: int = 4096,
-    salts: int = 16,
+    salts: int = 64,
 ) -> DataFrame:
     """Exact interpolated quantiles per group: one row per group, one column per entry of `probs` (name -> p).
 

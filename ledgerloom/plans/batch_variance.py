@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.nulls import not_prefixed, nz, safe_pct, tolerant
@@ -123,3 +123,24 @@ def direction(diff_millions: Column) -> Column:
 def shown_pct(variance_pct: Column) -> Column:
     """A variance below 0.01 % in absolute terms is shown as zero."""
     return F.when(F.abs(variance_pct) < 0.01, 0.0).otherwise(variance_pct)
+
+
+def material_variance(
+    usage: DataFrame,
+    items: DataFrame,
+    threshold: float = LOW_VALUE_THRESHOLD,
+    min_plan: float = MIN_PLAN_VALUE,
+    min_batches: int = MIN_BATCHES,
+) -> DataFrame:
+    """Material products with their rank by absolute variance inside the factory (1 = closest to plan)."""
+    valued = valued_usage(usage, item_attributes(unit_cost(items)), threshold)
+    order = Window.partitionBy("factory").orderBy("abs_var_pct", "product_1", "product_1_description")
+    products = material_products(product_variance(valued), min_plan, min_batches)
+    return products.withColumn("best_rank", F.row_number().over(order))
+
+
+def packaging_variance(usage: DataFrame, items: DataFrame, threshold: float = LOW_VALUE_THRESHOLD) -> DataFrame:
+    """Packaging variance per factory with its display name, worst first."""
+    valued = valued_usage(usage, item_attributes(unit_cost(items)), threshold)
+    names = usage.groupBy("factory").agg(F.min("factory_name").alias("name"))
+    return packaging_summary(valued, names)

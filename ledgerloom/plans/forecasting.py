@@ -193,3 +193,31 @@ def lag_grid(frame: DataFrame, group: str, target: str, spend: str, lags: Sequen
     return fits.select(group, lag.alias("lag"), "n", F.when(enough, F.col("r2")).alias("r2"), F.when(enough, F.col("p")).alias("p"))
 
 
+
+
+def spend_regression(monthly: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Monthly sales on the monthly spend of a ledger."""
+    joined = monthly.join(spend_by_month(ledger), ser.MONTH).dropna(subset=["total_sale", "marketing_spend"])
+    return reg.simple_ols(joined, [("marketing_spend", "total_sale")])
+
+
+def macro_screening(frame: DataFrame, regressors: Sequence[str], target: str = "total_sale") -> DataFrame:
+    """One row per regressor and one for all of them together: r2, p, slope, F, MAE, significance, verdict."""
+    rows = frame.dropna(subset=[target, *regressors])
+    columns = ["x", "r2", "p", "slope", "f_stat", "mae", "significant", "verdict"]
+    single = screen_regressors(rows, regressors, [target]).select(*columns)
+    fit = reg.fit_ols(rows, target, {"all": list(regressors)})
+    scored = reg.score_ols(rows, fit, regressors)
+    mae = reg.accuracy(scored, F.col(target), F.col("predicted")).select("mae").scalar()
+    significant, verdict = reg.screening_verdict(F.col("r2"), F.col("p_f"))
+    combined = fit.select(
+        F.col("spec").alias("x"),
+        "r2",
+        F.col("p_f").alias("p"),
+        F.lit(None).cast("double").alias("slope"),
+        "f_stat",
+        mae.alias("mae"),
+        significant.alias("significant"),
+        verdict.alias("verdict"),
+    )
+    return single.unionByName(combined)

@@ -102,8 +102,10 @@ def client_group(code: Column) -> Column:
     return txt.code_group(F.coalesce(code, F.lit("UNKNOWN")), CLIENT_GROUPS)
 
 
-def feature_frame(forms: DataFrame, medians_from: DataFrame | None = None, key: str = "filename") -> tuple[DataFrame, list[str]]:
-    """(key, target, features) of the labelled forms and the list of feature columns.
+def feature_frame(
+    forms: DataFrame, medians_from: DataFrame | None = None, key: str = "filename", keep: Sequence[str] = ()
+) -> tuple[DataFrame, list[str]]:
+    """(key, target, kept columns, features) of the labelled forms and the list of feature columns.
 
     Medians come from `medians_from` (the training rows), or from all labelled rows when none are given.
     """
@@ -123,4 +125,4 @@ def feature_frame(forms: DataFrame, medians_from: DataFrame | None = None, key:
     )
     features = [*NUMERIC, *[f"log_{c}" for c in LOGGED], *[f"cg_{v}" for v in levels], "is_national", "is_hcm", "auto_renew_bin"]
     target = (F.col("label") == "KAC").cast("int").alias("target")
-    return rows.select(key, target, *[F.col(c).cast("double").alias(c) for c in features]), features
+    return rows.select(key, target, *keep, *[F.col(c).cast("double").alias(c) for c in features]), features

@@ -74,8 +74,11 @@ def monthly_overview(
     previous bucket. Any other contract continues: its bucket is recomputed, the previous one carried, and source
     'abnc' rows are dropped. Both kinds come from one pass over the source, told apart by the outer join with the
     previous month. Every joined side is reduced to one row per key first, so nothing is multiplied; the reduction
-    shuffles on the join key and the join reuses that partitioning.
+    shuffles on the join key and the join reuses that partitioning. Write-offs are stored by contract number: the
+    few of the month get their contract key first, so that the source itself is shuffled by one key only.
     """
+    masters = contract.select(KEY, "text_contract_number", "code_accounting_method", "type_product")
+    numbers = masters.select(KEY, "text_contract_number")
     previous = history.filter(F.col("mo") == shift_literal(mo, -1)).select(
         KEY, F.col("code_cross").alias("code_cross_previous"), F.lit(True).alias("_known")
     )
@@ -94,18 +97,21 @@ def monthly_overview(
         writeoff_acc.filter(F.col("mo") == mo)
         .groupBy("text_contract_number")
         .agg(*[F.sum(f"amt_{m}").alias(f"_wo_{m}") for m in MEASURES])
+        .join(numbers, "text_contract_number")
+        .drop("text_contract_number")
     )
     rows = (
         source.filter((F.col("mo") == mo) & ~F.col("skp_credit_status").isin(*credit.EXCLUDED_STATUSES))
-        .join(contract.select(KEY, "text_contract_number", "code_accounting_method", "type_product"), KEY)
+        .join(masters.drop("text_contract_number"), KEY)
         .join(previous, KEY, "left")
         .join(stages, KEY, "left")
         .join(covid, KEY, "left")
         .join(month_adjustments(cre_adjustment, mo), KEY, "left")
-        .join(written, "text_contract_number", "left")
+        .join(written, KEY, "left")
     )
     if daily_writeoff_balances:
-        rows = rows.join(daily_writeoff(writeoff_acc_dd, mo, keep_zero=False), "text_contract_number", "left")
+        daily = daily_writeoff(writeoff_acc_dd, mo, keep_zero=False).join(numbers, "text_contract_number")
+        rows = rows.join(daily.drop("text_contract_number"), KEY, "left")
         added = [F.col(f"sum_{n}") for n in (176, 177, 178)]
     else:
         added = [F.lit(0)] * 3

@@ -64,11 +64,11 @@ CTES: dict[str, str] = {
     "contract_stage": """SELECT skp_credit_case, skp_credit_type, CAST(date_balance AS DATE) AS date_balance,
   CASE flag_deterioration WHEN 1 THEN 'stage 2' WHEN 0 THEN 'stage 1' END AS stage_split
   FROM contract_deter WHERE CAST(date_balance AS DATE) = DATE '1997-07-01' - 1""",
-    "covid_flag": """SELECT c_custkey AS skp_credit_case, CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS flag_covid,
+    "covid_flag": """SELECT c_custkey AS skp_credit_case, CASE WHEN c_custkey % 6 = 0 THEN 1 ELSE 0 END AS flag_covid,
   CASE WHEN c_custkey % 4 = 0 THEN TIMESTAMP '1997-07-31 11:00:00' ELSE TIMESTAMP '1997-07-10 00:00:00' END AS date_application
-  FROM customer WHERE c_custkey % 3 = 0""",
+  FROM customer""",
     "industry_covid": """SELECT c_custkey AS skp_credit_case, TIMESTAMP '1997-07-31 09:00:00' AS date_balance,
-  CASE WHEN c_custkey % 4 = 0 THEN 1 ELSE 0 END AS impact_by_covid FROM customer WHERE c_custkey % 2 = 0""",
+  CASE WHEN c_custkey % 4 = 0 THEN 1 ELSE 0 END AS impact_by_covid FROM customer""",
     "line_amounts": f"""SELECT o_custkey AS skp_credit_case, {month('l_shipdate', '.')} AS mo, l_linenumber, l_returnflag,
   CAST(l_extendedprice AS DECIMAL(18,2)) AS amount FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "writeoff_acc": """SELECT 'C' || lpad(CAST(skp_credit_case AS VARCHAR), 10, '0') AS text_contract_number, mo,
@@ -103,7 +103,7 @@ CTES: dict[str, str] = {
   CASE WHEN p_size % 3 = 0 THEN 'RM' WHEN p_size % 3 = 1 THEN 'SM' ELSE 'PM' END AS item_type, 'kg' AS uom,
   '0' || CAST(i + 1 AS VARCHAR) || '-25' AS period_name,
   CASE WHEN i = 3 AND p_partkey % 40 = 1 THEN 'n/a' ELSE CAST(CAST(CAST(p_retailprice AS DECIMAL(12,2)) + i * 0.50 AS DECIMAL(12,2)) AS VARCHAR) END AS pmac
-  FROM part, range(0, 4) AS r(i) WHERE p_partkey % 25 <> 0""",
+  FROM part, range(0, 4) AS r(i) WHERE p_size <> 13""",
     "unit_cost": """SELECT item_no, description, item_type, avg(coalesce(try_cast(pmac AS DOUBLE), 0)) AS avg_pmac FROM item_cost GROUP BY 1, 2, 3""",
     "cost_map": """SELECT item_no AS ingredient, avg(avg_pmac) AS unit_cost, arg_min(item_type, description) AS ingredient_type FROM unit_cost GROUP BY 1""",
     "valued": """SELECT b.*, unit_cost, ingredient_type, plan_qty::DOUBLE * unit_cost AS plan_value, actual_qty::DOUBLE * unit_cost AS actual_value, diff_qty::DOUBLE * unit_cost AS diff_value

@@ -170,16 +170,16 @@ class Tables:
     def covid_flag(self) -> DataFrame:
         key = F.col("c_custkey")
         at = lambda text: F.lit(text).cast("timestamp")
-        return self("customer").filter(key % 3 == 0).select(
+        return self("customer").select(
             key.alias("skp_credit_case"),
-            F.when(key % 2 == 0, 1).otherwise(0).alias("flag_covid"),
+            F.when(key % 6 == 0, 1).otherwise(0).alias("flag_covid"),
             F.when(key % 4 == 0, at("1997-07-31 11:00:00")).otherwise(at("1997-07-10 00:00:00")).alias("date_application"),
         )
 
     @once
     def industry_covid(self) -> DataFrame:
         key = F.col("c_custkey")
-        return self("customer").filter(key % 2 == 0).select(
+        return self("customer").select(
             key.alias("skp_credit_case"),
             F.lit("1997-07-31 09:00:00").cast("timestamp").alias("date_balance"),
             F.when(key % 4 == 0, 1).otherwise(0).alias("impact_by_covid"),
@@ -252,10 +252,11 @@ class Tables:
 
     @once
     def item_cost(self) -> DataFrame:
-        """Four cost rows per part: two periods, then a renamed item, then one with an unreadable cost."""
+        """Four cost rows per part: two periods, then a renamed item, then one with an unreadable cost. Parts of
+        size 13 have no cost."""
         price = money("p_retailprice", 12, 2)
         step = F.explode(F.sequence(F.lit(0), F.lit(3)))
-        rows = self("part").filter("p_partkey % 25 <> 0").select("*", step.alias("i"))
+        rows = self("part").filter("p_size <> 13").select("*", step.alias("i"))
         kind = F.when(F.col("p_size") % 3 == 0, "RM").when(F.col("p_size") % 3 == 1, "SM").otherwise("PM")
         cost = (price + F.col("i") * dec("0.50")).cast("decimal(12,2)").cast("string")
         return rows.select(

@@ -384,10 +384,7 @@ def _(t: Tables):
     digits=5,
 )
 def _(t: Tables):
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("factory").orderBy("abs_var_pct", "product_1", "product_1_description")
-    return material(t).withColumn("best_rank", F.row_number().over(order))
+    return bv.material_variance(t.batch_usage(), t.item_cost(), THRESHOLD, MIN_PLAN, MIN_BATCHES)
 
 
 @query(
@@ -397,8 +394,7 @@ def _(t: Tables):
     digits=2,
 )
 def _(t: Tables):
-    names = t.batch_usage().groupBy("factory").agg(F.min("factory_name").alias("name"))
-    return bv.packaging_summary(valued(t), names)
+    return bv.packaging_variance(t.batch_usage(), t.item_cost(), THRESHOLD)
 
 
 @query("dp10_unit_cost_table", f"SELECT item_no, description, item_type, {r('avg_pmac', 'avg_pmac')} FROM unit_cost")

@@ -11,12 +11,14 @@ from ledgerloom.operators import cluster as km
 from ledgerloom.operators import profile as pf
 from ledgerloom.operators.ranks import quantiles
 from ledgerloom.operators.series import standardise
+from ledgerloom.plans import bakeoff
 from ledgerloom.plans import customers as cu
 from ledgerloom.plans import forms as fm
 from ledgerloom.sources import sinks
 from ledgerloom.sources.tables import split_empty_documents
 from registry.analogues import Tables
 from registry.common import query, r, scratch
+from registry.model_sql import t_tail
 
 FORM_COLS = """filename, ma_lh, label, loai_hinh_code, num_ship_to::BIGINT AS num_ship_to, contract_months::BIGINT AS contract_months, auto_renew, revenue_target_year, revenue_target_month,
   total_support_pct, hist_sales_12m, num_categories::BIGINT AS num_categories, product_groups, num_product_groups::BIGINT AS num_product_groups, geo_coverage, order_freq_month::BIGINT AS order_freq_month, f1_number, effective_date"""
@@ -388,9 +390,6 @@ def _(t: Tables):
     return cl.importance_table(train, cl.forest(train, STAFF, "left_company", trees=20), STAFF)
 
 
-from registry.model_sql import t_tail  # noqa: E402
-
-
 @query(
     "ml28_two_sample_t_test",
     f"""SELECT n1, n2, {r('m1', 'mean1')}, {r('m2', 'mean2')}, {r('tp', 't_pooled')}, {r('dp', 'dof_pooled')}, {r('tw', 't_welch')}, {r('dw', 'dof_welch')}, {r(t_tail('tp', 'dp'), 'p_pooled')}, {r(t_tail('tw', 'dw'), 'p_welch')}, {t_tail('tw', 'dw')} < 0.05 AS significant FROM tt""",
@@ -462,12 +461,10 @@ def _(t: Tables):
 
 @query("dp18_classifier_comparison")
 def _(t: Tables):
-    train, test = staff_split(t)
-    model, scaler = cl.logistic(train, STAFF, "left_company")
-    scored = {
-        "logistic": cl.predict(model, test, STAFF, KEEP, scaler),
-        "tree": cl.predict(cl.tree(train, STAFF, "left_company"), test, STAFF, KEEP),
-        "forest": cl.predict(cl.forest(train, STAFF, "left_company", trees=20), test, STAFF, KEEP),
-        "boosted": cl.predict(cl.boosted(train, STAFF, "left_company", rounds=10), test, STAFF, KEEP),
-    }
-    return cl.model_comparison({n: cl.binary_report(s, "left_company", score="score") for n, s in scored.items()})
+    rows = t.employee().select("emp_id", "left_company", *[F.col(c).cast("double").alias(c) for c in STAFF])
+    return bakeoff.compare_classifiers(rows, STAFF, "left_company", "emp_id", trees=20, rounds=10)
+
+
+@query("dp18_form_classifier")
+def _(t: Tables):
+    return bakeoff.classify_forms(saved_forms(t), trees=20)["report"]

@@ -424,8 +424,7 @@ def _(t: Tables):
     sales = t.monthly_sales().withColumn("_y", year).select(
         F.concat(F.lit("20"), F.col("_y").cast("string"), F.substring("year_month", 5, 3)).alias("year_month"), "total_sale"
     )
-    joined = sales.join(fc.spend_by_month(t.mkt_ledger()), "year_month")
-    out = reg.simple_ols(joined, [("marketing_spend", "total_sale")])
+    out = fc.spend_regression(sales, t.mkt_ledger())
     return out.select("x", "y", "n", "slope", F.round("intercept", 1).alias("intercept"), "r2", "p")
 
 
@@ -441,16 +440,15 @@ def _(t: Tables):
 
 @query(
     "dp17_macro_screening",
-    f"""SELECT x, {r('r2', 'r2')}, {r('p', 'p')}, {r('slope', 'slope', 1)}, {r('f', 'f_stat')}, CASE WHEN p < 0.05 THEN 'Yes' ELSE 'No' END AS significant FROM
-  (SELECT x, r2, {P} AS p, slope, r2 / (1 - r2) * (n - 2) AS f FROM simple UNION ALL SELECT 'all', r2, {f_tail('f_stat', '3', 'n - 4')}, NULL, f_stat FROM fit)""",
-    {**FRAME, **ols("fit", "train", "total_sale", MACROS), "simple": " UNION ALL ".join(simple_sql("train", x, "total_sale") for x in MACROS)},
+    f"""SELECT x, {r('r2', 'r2')}, {r('p', 'p')}, {r('slope', 'slope', 1)}, {r('f', 'f_stat')}, {r('mae', 'mae', 1)}, CASE WHEN p < 0.05 THEN 'Yes' ELSE 'No' END AS significant, {VERDICT} AS verdict FROM
+  (SELECT s.x, r2, {P} AS p, slope, r2 / (1 - r2) * (n - 2) AS f, mae FROM simple s JOIN maes m ON m.x = s.x UNION ALL SELECT 'all', r2, {f_tail('f_stat', '3', 'n - 4')}, NULL, f_stat,
+    (SELECT avg(abs(total_sale - intercept - b[1] * cpi - b[2] * rate - b[3] * gdp)) FROM train, fit) FROM fit)""",
+    {
+        **FRAME,
+        **ols("fit", "train", "total_sale", MACROS),
+        "simple": " UNION ALL ".join(simple_sql("train", x, "total_sale") for x in MACROS),
+        "maes": " UNION ALL ".join(f"SELECT '{x}' AS x, avg(abs(total_sale - intercept - slope * {x})) AS mae FROM train JOIN simple b ON b.x = '{x}'" for x in MACROS),
+    },
 )
 def _(t: Tables):
-    rows = train(t)
-    single = fc.screen_regressors(rows, MACROS, ["total_sale"]).select("x", "r2", "p", F.round("slope", 1).alias("slope"), "f_stat", "significant")
-    fit = reg.fit_ols(rows, "total_sale", {"all": MACROS})
-    combined = fit.select(
-        F.col("spec").alias("x"), "r2", F.col("p_f").alias("p"), F.lit(None).cast("double").alias("slope"), "f_stat",
-        F.when(F.col("p_f") < reg.ALPHA, "Yes").otherwise("No").alias("significant"),
-    )
-    return single.unionByName(combined)
+    return fc.macro_screening(train(t), MACROS).withColumns({c: F.round(c, 1) for c in ("slope", "mae")})
