@@ -311,10 +311,10 @@ def _(t: Tables):
     return bv.best_and_worst(material(t))
 
 
-PACK = f"SELECT factory, ingredient, {r('sum(plan_value)', 'plan_val', 2)}, {r('sum(diff_value)', 'diff_val', 2)}, {r('sum(diff_value) / sum(plan_value) * 100', 'var_pct', 2)} FROM valued WHERE ingredient_type = 'PM' GROUP BY 1, 2"
+PACK = f"SELECT factory, ingredient, {r('sum(plan_value)', 'plan_val', 5)}, {r('sum(diff_value)', 'diff_val', 5)}, {r('sum(diff_value) / sum(plan_value) * 100', 'var_pct', 5)} FROM valued WHERE ingredient_type = 'PM' GROUP BY 1, 2"
 
 
-@query("so05_worst_packaging_items", f"{PACK} ORDER BY sum(diff_value), factory, ingredient LIMIT 10", digits=2)
+@query("so05_worst_packaging_items", f"{PACK} ORDER BY sum(diff_value), factory, ingredient LIMIT 10", digits=5)
 def _(t: Tables):
     return bv.worst_packaging_items(valued(t))
 
