@@ -18,7 +18,7 @@ from ledgerloom.sources import sinks
 from ledgerloom.sources.tables import split_empty_documents
 from registry.analogues import Tables
 from registry.common import query, r, scratch
-from registry.model_sql import t_tail
+from registry.model_sql import logistic, t_tail
 
 FORM_COLS = """filename, ma_lh, label, loai_hinh_code, num_ship_to::BIGINT AS num_ship_to, contract_months::BIGINT AS contract_months, auto_renew, revenue_target_year, revenue_target_month,
   total_support_pct, hist_sales_12m, num_categories::BIGINT AS num_categories, product_groups, num_product_groups::BIGINT AS num_product_groups, geo_coverage, order_freq_month::BIGINT AS order_freq_month, f1_number, effective_date"""
@@ -301,13 +301,25 @@ def staff_split(t: Tables):
 KEEP = ["emp_id", "left_company"]
 
 
+Z = [f"z_{c}" for c in STAFF]
+LOGIT = {
+    **RANKED,
+    "staff": "SELECT *, rk <= floor(size * 0.2::DOUBLE + 0.5) AS is_test FROM ranked",
+    "staff_stats": "SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in STAFF) + " FROM staff WHERE NOT is_test",
+    "staff_z": "SELECT emp_id, left_company, is_test, " + ", ".join(f"({c} - m_{c}) / s_{c} AS z_{c}" for c in STAFF) + " FROM staff, staff_stats",
+    "staff_train": "SELECT left_company, " + ", ".join(Z) + " FROM staff_z WHERE NOT is_test",
+    **logistic("logit", "staff_train", "left_company", Z),
+    "logit_scores": "SELECT emp_id, left_company, 1 / (1 + exp(-(b0 + " + " + ".join(f"w[{i + 1}] * {z}" for i, z in enumerate(Z)) + "))) AS score FROM staff_z, logit WHERE is_test",
+}
+
+
 @query("ml18_cross_validation")
 def _(t: Tables):
     train, _ = staff_split(t)
     return cl.cross_validate(train, STAFF, "left_company", "emp_id")
 
 
-@query("ml19_logistic_regression")
+@query("ml19_logistic_regression", f"SELECT emp_id, left_company, CAST(score > 0.5 AS BIGINT) AS prediction, {r('score', 'score', 3)} FROM logit_scores", LOGIT, digits=3)
 def _(t: Tables):
     train, test = staff_split(t)
     model, scaler = cl.logistic(train, STAFF, "left_company")
@@ -347,7 +359,7 @@ def _(t: Tables):
     return cl.binary_report(rule_rows(t), "left_company", score="score")
 
 
-@query("ml21_coefficient_table")
+@query("ml21_coefficient_table", " UNION ALL ".join(f"SELECT '{c}' AS feature, {r(f'w[{i + 1}]', 'coefficient', 3)} FROM logit" for i, c in enumerate(STAFF)), LOGIT, digits=3)
 def _(t: Tables):
     train, _ = staff_split(t)
     model, _ = cl.logistic(train, STAFF, "left_company")
