@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,14 +45,22 @@ def local_session(cores: int | str = 8, app: str = "ledgerloom", memory: str = "
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the cluster's checkpoint folder and continue from the files.
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder name for intermediate files: inside `spark.checkpoint.dir`, the folder every executor sees.
 
-    The folder comes from `spark.checkpoint.dir`; a temporary one is used only where the session names none.
+    A temporary folder is used only by a single-machine session that names none.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/run-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write `df` to the cluster's checkpoint folder and continue from the files."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp")))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.session import shared_folder as scratch  # noqa: F401
 from registry.analogue_sql import with_tables
 from registry.analogues import Tables
 
@@ -49,14 +49,4 @@ def r(expr: str, name: str, digits: int = 4) -> str:
 
 
 def rs(*names: str, digits: int = 4) -> str:
-    return ", ".join(r(n.split(".")[-1] if "." not in n else n, n.split(".")[-1], digits) for n in names)
-
-
-def scratch(spark: SparkSession) -> str:
-    """A new folder: inside the shared checkpoint folder where the session names one, else a temporary one."""
-    import uuid
-
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/run-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return ", ".join(r(n, n, digits) for n in names)

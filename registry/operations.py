@@ -63,15 +63,15 @@ def _(t: Tables):
 
 @query(
     "src04_tagged_sources",
-    "SELECT CASE o_orderstatus WHEN 'F' THEN 'DNC' ELSE 'SBC' END AS factory, CASE o_orderstatus WHEN 'F' THEN 'Factory A' ELSE 'Factory B' END AS factory_name, o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS note FROM orders",
+    "SELECT CASE o_orderstatus WHEN 'F' THEN 'FA' ELSE 'FB' END AS factory, CASE o_orderstatus WHEN 'F' THEN 'Factory A' ELSE 'Factory B' END AS factory_name, o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS note FROM orders",
 )
 def _(t: Tables):
     rows = t("orders")
     parts = {
-        "DNC": rows.filter("o_orderstatus = 'F'").select("o_orderkey"),
-        "SBC": rows.filter("o_orderstatus <> 'F'").select("o_orderkey", F.col("o_orderpriority").alias("note")),
+        "FA": rows.filter("o_orderstatus = 'F'").select("o_orderkey"),
+        "FB": rows.filter("o_orderstatus <> 'F'").select("o_orderkey", F.col("o_orderpriority").alias("note")),
     }
-    return tagged_union(parts, "factory", {"DNC": "Factory A", "SBC": "Factory B"})
+    return tagged_union(parts, "factory", {"FA": "Factory A", "FB": "Factory B"})
 
 
 # --- projections and filters ------------------------------------------------------------------------------------

@@ -313,7 +313,29 @@ LOGIT = {
 }
 
 
-@query("ml18_cross_validation")
+CV = {
+    **{n: LOGIT[n] for n in ("ranked", "staff")},
+    "cv_rows": "SELECT *, (row_number() OVER (PARTITION BY left_company ORDER BY md5('42|' || emp_id), emp_id) - 1) % 5 AS fold FROM staff WHERE NOT is_test",
+}
+for _i in range(5):
+    CV[f"cv{_i}_stats"] = "SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in STAFF) + f" FROM cv_rows WHERE fold <> {_i}"
+    CV[f"cv{_i}_z"] = "SELECT left_company, fold, " + ", ".join(f"({c} - m_{c}) / s_{c} AS z_{c}" for c in STAFF) + f" FROM cv_rows JOIN cv{_i}_stats ON true"
+    CV[f"cv{_i}_train"] = "SELECT left_company, " + ", ".join(Z) + f" FROM cv{_i}_z WHERE fold <> {_i}"
+    CV.update(logistic(f"cv{_i}_fit", f"cv{_i}_train", "left_company", Z))
+    CV[f"cv{_i}_scores"] = "SELECT left_company AS y, 1 / (1 + exp(-(b0 + " + " + ".join(f"w[{j + 1}] * {z}" for j, z in enumerate(Z)) + f"))) AS score FROM cv{_i}_z JOIN cv{_i}_fit ON true WHERE fold = {_i}"
+    CV[f"cv{_i}_ranks"] = f"SELECT y, score, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS rk FROM cv{_i}_scores"
+CV["cv_folds"] = " UNION ALL ".join(
+    f"SELECT '{i}' AS fold, (sum(rk) FILTER (y = 1) - count(*) FILTER (y = 1) * (count(*) FILTER (y = 1) + 1) / 2.0) / (count(*) FILTER (y = 1) * count(*) FILTER (y = 0)) AS auc, avg(CAST((score > 0.5) = (y = 1) AS DOUBLE)) AS accuracy FROM cv{i}_ranks"
+    for i in range(5)
+)
+
+
+@query(
+    "ml18_cross_validation",
+    f"SELECT fold, {r('auc', 'auc', 3)}, {r('accuracy', 'accuracy', 3)} FROM (SELECT * FROM cv_folds UNION ALL SELECT 'mean', avg(auc), avg(accuracy) FROM cv_folds UNION ALL SELECT 'std', stddev_pop(auc), stddev_pop(accuracy) FROM cv_folds)",
+    CV,
+    digits=3,
+)
 def _(t: Tables):
     train, _ = staff_split(t)
     return cl.cross_validate(train, STAFF, "left_company", "emp_id")
