@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup
+from ledgerloom.llm import exact_dedup, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -42,3 +42,9 @@ def exact_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
+
+
+@query("op2_substring_dedup")
+def repeated_windows(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring_dedup.removed_words(table(spark, folder, "documents"))
+    return kept.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
