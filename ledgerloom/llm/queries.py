@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, substring_dedup
+from ledgerloom.llm import exact_dedup, substring_dedup, warc
+from ledgerloom.llm.storage import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -48,3 +49,20 @@ def exact_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 def repeated_windows(spark: SparkSession, folder: str) -> DataFrame:
     kept = substring_dedup.removed_words(table(spark, folder, "documents"))
     return kept.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+@query(
+    "op4_warc_archive",
+    """
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+           CASE WHEN octet_length(encode(coalesce(html, ''))) >= 1000 AND page_id < max(page_id) OVER same
+                THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN octet_length(encode(coalesce(html, ''))) >= 1000 AND page_id < max(page_id) OVER same
+                THEN max(page_id) OVER same END AS refers_to
+    FROM pages WINDOW same AS (PARTITION BY coalesce(html, ''))
+    """,
+)
+def warc_archive(spark: SparkSession, folder: str) -> DataFrame:
+    archive = work_folder(spark, "warc")
+    warc.write_archive(table(spark, folder, "pages"), archive)
+    return warc.describe(warc.read_records(spark, archive)).drop("url")
