@@ -23,6 +23,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 STREAM_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # many small stores: no preallocated files
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
