@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, substring_dedup, warc
+from ledgerloom.llm import exact_dedup, substring_dedup, token_files, warc
 from ledgerloom.llm.storage import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +67,12 @@ def warc_archive(spark: SparkSession, folder: str) -> DataFrame:
     archive = work_folder(spark, "warc")
     warc.write_archive(table(spark, folder, "pages"), archive)
     return warc.describe(warc.read_records(spark, archive)).drop("url")
+
+
+@query("op7_token_files")
+def token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    files = work_folder(spark, "token-files")
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    token_files.write_token_files(table(spark, folder, "documents"), files, tokenizer)
+    read = token_files.read_token_files(spark, files)
+    return read.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
