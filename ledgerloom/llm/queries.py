@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, substring_dedup, token_files, warc
+from ledgerloom.llm import exact_dedup, order_minhash, substring_dedup, token_files, warc
 from ledgerloom.llm.storage import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,9 @@ def token_ids(spark: SparkSession, folder: str) -> DataFrame:
     token_files.write_token_files(table(spark, folder, "documents"), files, tokenizer)
     read = token_files.read_token_files(spark, files)
     return read.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+@query("op5_near_duplicates")
+def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    classes = order_minhash.near_duplicate_classes(table(spark, folder, "documents"))
+    return classes.select(F.col("id").alias("doc_id"), "class_id", "class_size", "links", "kept")

@@ -6,8 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
@@ -31,21 +30,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def located(df: DataFrame) -> DataFrame:
-    """Add `_path` and `_row`, the place of each row in its file; a frame that is not a plain file scan is saved first."""
-
-    def places(frame: DataFrame) -> DataFrame:
-        at = frame.metadataColumn("_metadata")
-        return frame.withColumns({"_path": at["file_path"], "_row": at["row_index"]})
-
+def file_scan(df: DataFrame) -> DataFrame:
+    """`df` if its rows have a place in a file (a plain scan, filtered or not), else a saved copy that has."""
     try:
-        out = places(df)
-        out.schema  # noqa: B018  resolves the plan, which fails when the rows have no place in a file
-        return out
+        df.select(df.metadataColumn("_metadata")["row_index"]).schema  # noqa: B018  resolves the plan
+        return df
     except AnalysisException:
-        return places(saved(df, "located"))
+        return saved(df, "located")
 
 
-def ids_known(df: DataFrame, id_col: str) -> DataFrame:
-    """Rows of a table that can be named: those with an id."""
-    return df.filter(F.col(id_col).isNotNull())
+def located(df: DataFrame, *columns: Column) -> DataFrame:
+    """The given columns of a file scan with `_path` and `_row`, the place of each row."""
+    at = df.metadataColumn("_metadata")
+    return df.select(*columns, at["file_path"].alias("_path"), at["row_index"].alias("_row"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.storage import located
+from ledgerloom.llm.storage import file_scan
 
 CRLF = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed by the WARC 1.1 format
@@ -59,8 +59,10 @@ def write_archive(
 ) -> None:
     """Write `folder`/payloads and `folder`/records. `date` is the WARC-Date of every record."""
     payload = F.encode(F.coalesce(F.col(f"`{payload_col}`"), F.lit("")), "UTF-8")
-    rows = located(pages).select(
-        F.struct(F.col(f"`{id_col}`").alias("id"), F.col("_path").alias("path"), F.col("_row").alias("row")).alias("this"),
+    pages = file_scan(pages)
+    place = pages.metadataColumn("_metadata")
+    rows = pages.select(
+        F.struct(F.col(f"`{id_col}`").alias("id"), place["file_path"].alias("path"), place["row_index"].alias("row")).alias("this"),
         F.col(f"`{url_col}`").alias("url"),
         payload.alias("payload"),
         F.unhex(F.sha2(payload, 256)).alias("digest"),

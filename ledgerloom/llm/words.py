@@ -32,7 +32,7 @@ def _powers(which: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up), np.cumprod(down)
 
 
-def _spans(values: np.ndarray, start: np.ndarray, end: np.ndarray, which: int) -> np.ndarray:
+def spans(values: np.ndarray, start: np.ndarray, end: np.ndarray, which: int) -> np.ndarray:
     """Polynomial hash of values[start:end] for each pair, by prefix sums; equal slices give equal hashes."""
     up, down = _powers(which, max(4, int(len(values)).bit_length()))
     sums = np.zeros(len(values) + 1, np.uint64)
@@ -62,13 +62,13 @@ class Words:
         self.start = np.flatnonzero(inside & ~before)
         self.end = np.flatnonzero(inside & ~after) + 1
         self.first = np.searchsorted(self.start, self.offsets)
-        self.hashes = _spans(_BYTE[raw], self.start, self.end, 0) if len(raw) else np.zeros(0, np.uint64)
+        self.hashes = spans(_BYTE[raw], self.start, self.end, 0) if len(raw) else np.zeros(0, np.uint64)
 
     def windows(self, size: int, which: int = 1) -> np.ndarray:
         """Hash of the `size` words from each word on; only those inside one text mean anything, see `fits`."""
         n = len(self.hashes)
         start = np.arange(n)
-        return _spans(self.hashes, start, np.minimum(start + size, n), which) if n else np.zeros(0, np.uint64)
+        return spans(self.hashes, start, np.minimum(start + size, n), which) if n else np.zeros(0, np.uint64)
 
     def place(self) -> np.ndarray:
         """Position of each word in its text."""
