@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.storage import located, saved, work_folder
+from ledgerloom.llm.storage import file_scan, located, saved, work_folder
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STREAM_CONF = {
@@ -33,11 +33,9 @@ def sha256(text: Column) -> Column:
 
 
 def keyed_rows(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column]) -> DataFrame:
-    """The digest, id, text and place of every row."""
+    """The digest, id, text and place of every row of a file scan."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    return located(docs).select(
-        digest(text).alias("digest"), F.col(f"`{id_col}`").alias("id"), text.alias("text"), "_path", "_row"
-    )
+    return located(docs, digest(text).alias("digest"), F.col(f"`{id_col}`").alias("id"), text.alias("text"))
 
 
 def digest_state(keys: DataFrame, path: str, batches: int = 4) -> DataFrame:
@@ -69,11 +67,16 @@ def digest_state(keys: DataFrame, path: str, batches: int = 4) -> DataFrame:
     return state.select("key.*", "value.*").toDF("digest", "last", "rows")
 
 
-def clashing(texts: DataFrame, state: DataFrame) -> DataFrame:
-    """Digests of several rows whose full bytes differ. Copies meet in the partial aggregate of their own task first."""
-    hits = state.filter("rows > 1").select("digest")
-    spread = texts.join(hits, "digest", "left_semi").groupBy("digest").agg(F.min("text").alias("a"), F.max("text").alias("b"))
-    return spread.filter("a <> b").select("digest")
+def clashing(rows: DataFrame, joined: DataFrame) -> DataFrame:
+    """Digests of several rows whose full bytes differ.
+
+    The texts of hits are found by their place, so copies of one text stay spread over the tasks and meet only after each
+    task has reduced its own to the smallest and the largest.
+    """
+    hits = joined.filter("rows > 1").select("digest", "_path", "_row")
+    texts = rows.select("text", "_path", "_row").join(hits, ["_path", "_row"])
+    ends = texts.groupBy("digest").agg(F.min("text").alias("a"), F.max("text").alias("b"))
+    return ends.filter("a <> b").select("digest")
 
 
 def duplicate_groups(
@@ -84,20 +87,19 @@ def duplicate_groups(
     batches: int = 4,
 ) -> DataFrame:
     """One row per row of `docs`: id, digest, keep_id (largest id of the equal texts), group_size, kept, and its place."""
-    rows = keyed_rows(docs, id_col, text_col, digest)
+    rows = keyed_rows(file_scan(docs), id_col, text_col, digest)
     folder = f"{work_folder(docs.sparkSession, 'digests')}/table"
     rows.drop("text").write.parquet(folder)
     keys = docs.sparkSession.read.schema(rows.drop("text").schema).parquet(folder)
     state = saved(digest_state(keys, folder, batches), "digest-state")
-    clashes = saved(clashing(rows.select("digest", "text"), state), "clashes")
-    if clashes.isEmpty():
-        joined = keys.join(state, "digest")
-    else:  # two texts with one digest: those groups are formed again, by the texts
+    joined = saved(keys.join(state, "digest"), "digest-groups")
+    clashes = saved(clashing(rows, joined), "clashes")
+    if not clashes.isEmpty():  # two texts with one digest: those groups are formed again, by the texts
         shared = rows.join(clashes, "digest", "left_semi")
         groups = shared.groupBy("digest", "text").agg(
             F.max(F.struct("id", "_path", "_row")).alias("last"), F.count(F.lit(1)).alias("rows")
         )
-        alone = keys.join(clashes, "digest", "left_anti").join(state, "digest")
+        alone = joined.join(clashes, "digest", "left_anti")
         joined = alone.unionByName(shared.join(groups, ["digest", "text"]).drop("text"))
     same = (F.col("last._path") == F.col("_path")) & (F.col("last._row") == F.col("_row"))
     return joined.select(
@@ -107,6 +109,6 @@ def duplicate_groups(
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay: of equal texts the one with the largest id."""
-    placed = located(docs)
+    docs = file_scan(docs)
     stay = duplicate_groups(docs, id_col, text_col).filter("kept").select("_path", "_row")
-    return placed.join(stay, ["_path", "_row"], "left_semi").select(*[f"`{c}`" for c in docs.columns])
+    return located(docs, F.struct("*").alias("doc")).join(stay, ["_path", "_row"], "left_semi").select("doc.*")
