@@ -135,7 +135,7 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return len(np.intersect1d(a, b, assume_unique=True))
 
 
-def _chunks(column: pa.Array, size: int = CHUNK_BYTES):
+def chunks(column: pa.Array, size: int = CHUNK_BYTES):
     """Start and end rows of pieces with about `size` bytes of text."""
     lengths = np.array([len(x.as_buffer()) if x.is_valid else 0 for x in column])
     ends = np.flatnonzero(np.diff(np.cumsum(lengths) // size, prepend=0)) + 1
@@ -148,7 +148,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, size: int, functions
 
     def sign(batches):
         for batch in batches:
-            for low, high in _chunks(batch.column("text")):
+            for low, high in chunks(batch.column("text")):
                 part = batch.slice(low, high - low)
                 words = Words(part.column("text"))
                 hashes, first = runs(words, size)
@@ -177,7 +177,7 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) -> D
     def check(batches):
         for batch in batches:
             out = []
-            for low, high in _chunks(batch.column("text_a")):
+            for low, high in chunks(batch.column("text_a")):
                 part = batch.slice(low, high - low)
                 sides = []
                 for name in ("text_a", "text_b"):
@@ -220,7 +220,7 @@ def rare_run_pairs(nodes: DataFrame, texts: DataFrame, size: int, threshold: flo
 
     def emit(batches):
         for batch in batches:
-            for low, high in _chunks(batch.column("text"), CHUNK_BYTES // 2):
+            for low, high in chunks(batch.column("text"), CHUNK_BYTES // 2):
                 part = batch.slice(low, high - low)
                 hashes, first = runs(Words(part.column("text")), size)
                 n = np.diff(first)

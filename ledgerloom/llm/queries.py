@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, order_minhash, substring_dedup, token_files, warc
+from ledgerloom.llm import exact_dedup, order_minhash, substring_dedup, token_files, toxicity, warc
 from ledgerloom.llm.storage import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,11 @@ def token_ids(spark: SparkSession, folder: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     classes = order_minhash.near_duplicate_classes(table(spark, folder, "documents"))
     return classes.select(F.col("id").alias("doc_id"), "class_id", "class_size", "links", "kept")
+
+
+@query("op3_toxicity")
+def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels")))
+    predicted = (F.col("score") >= toxicity.LIMIT).cast("int")
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", predicted.alias("predicted"))

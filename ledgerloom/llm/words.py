@@ -44,17 +44,18 @@ class Words:
     """The words of a list of texts, laid end to end.
 
     `hashes` has a 64-bit hash per word, `first` the number of words before each text (one more entry than texts),
-    `start` and `end` the byte range of each word in `data`.
+    `start` and `end` the byte range of each word in `data`. `separator` says which bytes end a word, `fold` maps bytes
+    before they are hashed.
     """
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, separator: np.ndarray = _IS_SPACE, fold: np.ndarray | None = None):
         texts = pc.fill_null(texts.cast(pa.large_string()), "").cast(pa.large_binary())
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         base, stop = (int(offsets[0]), int(offsets[-1])) if len(texts) else (0, 0)
         self.data = memoryview(texts.buffers()[2] or b"")[base:stop]
         self.offsets = offsets - base if len(texts) else np.zeros(1, np.int64)
         raw = np.frombuffer(self.data, np.uint8)
-        inside = ~_IS_SPACE[raw]
+        inside = ~separator[raw]
         before, after = np.zeros_like(inside), np.zeros_like(inside)
         before[1:], after[:-1] = inside[:-1], inside[1:]
         cuts = self.offsets[(self.offsets > 0) & (self.offsets < len(raw))]
@@ -62,7 +63,8 @@ class Words:
         self.start = np.flatnonzero(inside & ~before)
         self.end = np.flatnonzero(inside & ~after) + 1
         self.first = np.searchsorted(self.start, self.offsets)
-        self.hashes = spans(_BYTE[raw], self.start, self.end, 0) if len(raw) else np.zeros(0, np.uint64)
+        self.codes = _BYTE[raw if fold is None else fold[raw]]
+        self.hashes = spans(self.codes, self.start, self.end, 0) if len(raw) else np.zeros(0, np.uint64)
 
     def windows(self, size: int, which: int = 1) -> np.ndarray:
         """Hash of the `size` words from each word on; only those inside one text mean anything, see `fits`."""
@@ -70,6 +72,13 @@ class Words:
         start = np.arange(n)
         return spans(self.hashes, start, np.minimum(start + size, n), which) if n else np.zeros(0, np.uint64)
 
+    def beginnings(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Words longer than `size` bytes, and a hash of the first `size` bytes of each."""
+        long = np.flatnonzero(self.end - self.start > size)
+        if not len(long):
+            return long, np.zeros(0, np.uint64)
+        return long, spans(self.codes, self.start[long], self.start[long] + size, 3)
+
     def place(self) -> np.ndarray:
         """Position of each word in its text."""
         return np.arange(len(self.hashes)) - np.repeat(self.first[:-1], np.diff(self.first))
