@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, order_minhash, substring_dedup, token_files, toxicity, warc
+from ledgerloom.llm import exact_dedup, kmeans_tree, order_minhash, substring_dedup, token_files, toxicity, warc
 from ledgerloom.llm.storage import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,8 @@ def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
     scored = toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels")))
     predicted = (F.col("score") >= toxicity.LIMIT).cast("int")
     return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", predicted.alias("predicted"))
+
+
+@query("op8_nearest_vectors")
+def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return kmeans_tree.search(table(spark, folder, "embeddings"))
