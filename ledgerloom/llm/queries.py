@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, kmeans_tree, order_minhash, substring_dedup, token_files, toxicity, warc
+from ledgerloom.llm import exact_dedup, kmeans_tree, order_minhash, pieces, substring_dedup, token_files, toxicity, warc
 from ledgerloom.llm.storage import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,10 @@ def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_nearest_vectors")
 def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return kmeans_tree.search(table(spark, folder, "embeddings"))
+
+
+@query("op9_piece_ids")
+def piece_ids(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    coded = pieces.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select("doc_id", F.size("piece_ids").cast("bigint").alias("n_pieces"), "piece_ids", "round_trip")
