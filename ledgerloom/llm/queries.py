@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, kmeans_tree, order_minhash, pieces, substring_dedup, token_files, toxicity, warc
+from ledgerloom.llm import exact_dedup, kmeans_tree, mixing, order_minhash, pieces, pseudonyms, substring_dedup, token_files, toxicity, warc
 from ledgerloom.llm.storage import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,15 @@ def piece_ids(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     coded = pieces.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return coded.select("doc_id", F.size("piece_ids").cast("bigint").alias("n_pieces"), "piece_ids", "round_trip")
+
+
+@query("op1_pseudonyms")
+def personal_values(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymise(docs, key=b"a demonstration key; use a secret one")
+
+
+@query("op6_pfair_mix")
+def source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.slotted(table(spark, folder, "documents"))
+    return mixed.select(F.col("id").alias("doc_id"), "source", "block", "slot", "place", "on_target")
