@@ -191,6 +191,17 @@ class Pseudonymiser:
         value, size = to_number(core)
         return refill(local, to_text(self._number("mail", value, size), core)) + "@" + domain
 
+    def _longest(self, kind: str, found: str) -> tuple[str | None, int]:
+        """Replacement and length of the longest valid value that `found` begins with; groups behind it may be other numbers."""
+        while True:
+            new = getattr(self, kind)(found)
+            if new is not None or kind not in ("card", "iban") or " " not in found:
+                return new, len(found)
+            found = found[: found.rindex(" ")]
+            again = _VALUE.fullmatch(found)
+            if again is None or again.lastgroup != kind:
+                return None, 0
+
     def replace(self, text: str) -> tuple[str, dict[str, int]]:
         """The text with its valid values replaced, and how many of each kind."""
         counts = dict.fromkeys(KINDS, 0)
@@ -202,13 +213,13 @@ class Pseudonymiser:
             at = max(done, run.start() - 4)
             while (found := _VALUE.search(text, at, min(len(text), run.end() + 40))) and found.start() < run.end():
                 kind = found.lastgroup or next(k for k, v in found.groupdict().items() if v)
-                new = getattr(self, kind)(found[0])
+                new, end = self._longest(kind, found[0])
                 if new is None:
                     at = found.start() + 1
                     continue
-                spans.append((found.start(), found.end(), new))
+                spans.append((found.start(), found.start() + end, new))
                 counts[kind] += 1
-                at = done = found.end()
+                at = done = found.start() + end
         if "@" in text:
             for found in _MAIL.finditer(text):
                 new = self.mail(found[0])
