@@ -57,15 +57,18 @@ def sums(weights: np.ndarray, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Averaged linear classifiers: weights (classifiers x features) and biases."""
+    """Averaged linear classifiers over the features in `known` (sorted): weights (classifiers x features) and biases."""
 
+    known: np.ndarray
     weights: np.ndarray
     bias: np.ndarray
 
     def score(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
         if not len(self.bias):
             return np.zeros(len(first) - 1)
-        each = [1 / (1 + np.exp(-np.clip(b + sums(w, ids, first), -30, 30))) for w, b in zip(self.weights, self.bias)]
+        used = np.flatnonzero(np.isin(ids, self.known))
+        column, begins = np.searchsorted(self.known, ids[used]), np.searchsorted(used, first)
+        each = [1 / (1 + np.exp(-np.clip(b + sums(w, column, begins), -30, 30))) for w, b in zip(self.weights, self.bias)]
         return np.mean(each, axis=0)
 
 
@@ -75,7 +78,7 @@ def fit(
 ) -> Model:
     """Full-batch Adam on the non-negative risk. Features whose z score of examples over unlabelled is below `least` get no weight."""
     if not positive or not unlabelled or not 0 < prior < 1:
-        return Model(np.zeros((0, 1 << BITS), np.float32), np.zeros(0))
+        return Model(np.zeros(0, np.int64), np.zeros((0, 0)), np.zeros(0))
     rng, out, biases = np.random.default_rng(seed), [], []
     parts = np.array_split(rng.permutation(len(unlabelled)), min(classifiers, len(unlabelled)))
     for part in parts:
@@ -111,11 +114,13 @@ def fit(
             m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
             step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
             w, b = w - step[:-1], b - step[-1]
-        full = np.zeros(1 << BITS, np.float32)
-        full[known] = w
-        out.append(full)
+        out.append((known, w))
         biases.append(b)
-    return Model(np.stack(out), np.array(biases))
+    every = np.unique(np.concatenate([k for k, _ in out]))
+    weights = np.zeros((len(out), len(every)))
+    for row, (known, w) in zip(weights, out):
+        row[np.searchsorted(every, known)] = w
+    return Model(every, weights, np.array(biases))
 
 
 def sampled(docs: DataFrame, ids: DataFrame, text_col: str, id_col: str) -> list[np.ndarray]:

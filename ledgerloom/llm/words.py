@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,18 +21,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=8)
-def _powers(which: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+_KEPT_BITS = 20
+_TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers(which: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least `size` powers of a base and of its inverse. Short tables are kept, that of a very long text is not."""
+    if which in _TABLES and len(_TABLES[which][0]) >= size:
+        return _TABLES[which]
+    count = 1 << max(_KEPT_BITS, size.bit_length())
     base = _BASES[which] % 2**64
-    up = np.full(2**bits, base, np.uint64)
-    down = np.full(2**bits, pow(base, -1, 2**64), np.uint64)
+    up = np.full(count, base, np.uint64)
+    down = np.full(count, pow(base, -1, 2**64), np.uint64)
     up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+    table = np.cumprod(up), np.cumprod(down)
+    if count == 1 << _KEPT_BITS:
+        _TABLES[which] = table
+    return table
 
 
 def spans(values: np.ndarray, start: np.ndarray, end: np.ndarray, which: int) -> np.ndarray:
     """Polynomial hash of values[start:end] for each pair, by prefix sums; equal slices give equal hashes."""
-    up, down = _powers(which, max(4, int(len(values)).bit_length()))
+    up, down = _powers(which, len(values))
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * up[: len(values)], out=sums[1:])
     return mix((sums[end] - sums[start]) * down[start])
