@@ -37,7 +37,7 @@ from ledgerloom.llm.words import Words, spans, mix
 SHINGLE = 5
 THRESHOLD = 0.8
 FUNCTIONS, ROWS = 60, 3
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 _MULTIPLIERS = np.random.Generator(np.random.PCG64(5)).integers(1, 2**63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _NONE = np.uint64(2**64 - 1)
 
@@ -241,14 +241,15 @@ def rare_run_pairs(nodes: DataFrame, texts: DataFrame, size: int, threshold: flo
     rank = F.row_number().over(Window.partitionBy("node").orderBy("often", "run"))
     need = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1
     first = rows.join(often, "run").withColumn("rank", rank).filter((F.col("rank") <= need) & (F.col("often") > 1))
-    first = saved(first.select("node", "root", "n", "run"), "rare-runs")
+    first = saved(first.select("node", "root", "n", "run", "rank"), "rare-runs")
     # In each list the component with most entries is one side only: its members are not paired with each other.
     share = first.groupBy("run", "root").agg(F.count(F.lit(1)).alias("entries"))
     major = share.groupBy("run").agg(F.max_by("root", "entries").alias("major"), F.count(F.lit(1)).alias("roots"))
     minor = saved(first.join(major.filter("roots > 1"), "run").filter("root <> major").drop("major", "roots"), "minor-runs")
-    pairs = minor.join(first.toDF("node_b", "root_b", "n_b", "run"), "run").filter("root <> root_b").filter(
-        F.least("n", "n_b") >= threshold * F.greatest("n", "n_b") - 1e-9
-    )
+    # At the first run that two texts share, at most the runs behind it in either can follow; that has to be enough.
+    follow = 1 + F.least(F.col("n") - F.col("rank"), F.col("n_b") - F.col("rank_b"))
+    enough = follow >= (F.col("n") + F.col("n_b")) * (threshold / (1 + threshold)) - 1e-9
+    pairs = minor.join(first.toDF("node_b", "root_b", "n_b", "run", "rank_b"), "run").filter("root <> root_b").filter(enough)
     return pairs.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")).distinct()
 
 
