@@ -16,7 +16,7 @@ from ledgerloom.operators.profile import group_medians, modes
 KS, MAX_ITER, SEED = (3, 4, 5), 500, 42
 
 
-def sweep(df: DataFrame, features: Sequence[str], keep: Sequence[str], ks: Sequence[int] = KS, starts: int = 5):
+def sweep(df: DataFrame, features: Sequence[str], keep: Sequence[str], ks: Sequence[int] = KS, starts: int = 20):
     """(table, rows): per K the best of several starts by cost, with its silhouette; rows carry `cluster_k<K>`.
 
     The silhouette uses squared Euclidean distance, computed from cluster sums in linear time; the plain Euclidean

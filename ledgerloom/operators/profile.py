@@ -19,9 +19,9 @@ def stacked(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) ->
     return df.select(*keep, F.inline(F.array(*cells)))
 
 
-def column_quantiles(df: DataFrame, columns: Sequence[str], probs: dict[str, float], groups: Sequence[str] = (), few_values: bool | None = None) -> DataFrame:
+def column_quantiles(df: DataFrame, columns: Sequence[str], probs: dict[str, float], groups: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles of several columns in one pass: one row per group and column."""
-    return quantiles(stacked(df, columns, groups), [*groups, "column"], "value", probs, few_values)
+    return quantiles(stacked(df, columns, groups), [*groups, "column"], "value", probs)
 
 
 def fill_medians(df: DataFrame, columns: Sequence[str], source: DataFrame | None = None) -> DataFrame:
@@ -33,9 +33,9 @@ def fill_medians(df: DataFrame, columns: Sequence[str], source: DataFrame | None
     )
 
 
-def group_medians(df: DataFrame, group: str, columns: Sequence[str], few_values: bool | None = None) -> DataFrame:
+def group_medians(df: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:
     """One row per group, one median column per input column."""
-    found = column_quantiles(df, columns, {"median": 0.5}, [group], few_values)
+    found = column_quantiles(df, columns, {"median": 0.5}, [group])
     return found.groupBy(group).agg(
         *[F.max(F.when(F.col("column") == c, F.col("median"))).alias(f"median_{c}") for c in columns]
     )

@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Distinct values of one group that a single task may hold (a few megabytes of value counts).
-FEW_VALUES = 200_000
+from ledgerloom.session import cut_lineage
 
 
 def seeded_hash(key: Column, seed: int) -> Column:
@@ -39,77 +38,55 @@ def hash_rank(df: DataFrame, strata: Sequence[str], key: str, seed: int = 42, di
     return joined.select(*df.columns, "_rank", "_size")
 
 
-def _cell(value: str, low: str, high: str, bins: int) -> Column:
-    """Position of a value in `bins` equal steps of [low, high]; monotone, so ranks carry over."""
-    width = F.col(high) - F.col(low)
-    step = F.when(width > 0, F.floor((F.col(value) - F.col(low)) / width * bins)).otherwise(F.lit(0))
-    return F.least(step, F.lit(bins - 1)).cast("int")
-
-
 def quantiles(
-    df: DataFrame,
-    groups: Sequence[str],
-    value: str,
-    probs: dict[str, float],
-    few_values: bool | None = None,
-    bins: int = 4096,
-    salts: int = 64,
+    df: DataFrame, groups: Sequence[str], value: str, probs: dict[str, float], cells: int = 256, levels: int = 2, salts: int = 64
 ) -> DataFrame:
     """Exact interpolated quantiles per group: one row per group, one column per entry of `probs` (name -> p).
 
-    NULLs are ignored. Equal values are counted first, so repeated values cost nothing. When no group has more
-    than FEW_VALUES distinct values (checked by a sketch per group unless `few_values` says so), the built-in percentile over
-    the counts finishes. Otherwise the wanted ranks are located in a histogram, again in a histogram of the hit
-    cells, and only the values of the remaining cells are ordered; no step holds a whole group.
+    NULLs are ignored. Equal values are counted first, so repeated values cost nothing. Then the wanted ranks are narrowed
+    down `levels` times: a quantile sketch cuts the distinct values of a group into `cells` cells of nearly equal numbers
+    (so outliers do not matter), the cells are counted, and only those that hold a wanted rank go on. After two levels
+    of 256 cells a cell holds about one of 65,536 distinct values of its group, and only these are ordered.
     """
     keys = list(groups) or ["_all"]
     base = df if groups else df.withColumn("_all", F.lit(0))
     base = base.dropna(subset=[*keys, value]).select(*keys, F.col(value).cast("double").alias("_v"))
-    counted = base.groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
-    if few_values is None:
-        widest = base.groupBy(*keys).agg(F.approx_count_distinct("_v").alias("_n")).agg(F.max("_n")).first()[0]
-        few_values = (widest or 0) <= FEW_VALUES
-    if few_values:
-        out = counted.groupBy(*keys).agg(
-            *[F.percentile("_v", F.lit(p), F.col("_c")).alias(n) for n, p in probs.items()]
-        )
-        return out if groups else out.drop("_all")
-
-    # Level 1: the range of a group is copied to every salt, so a hot group is spread over `salts` tasks.
-    spread = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
-    scope = counted.groupBy(*keys).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
-    placed = (
-        counted.withColumn("_salt", F.pmod(F.hash("_v"), F.lit(salts)).cast("int"))
-        .join(scope.select(*keys, "_low", "_high", spread), [*keys, "_salt"])
-        .select(*keys, "_v", "_c", _cell("_v", "_low", "_high", bins).alias("_cell"))
-    )
-    cells = placed.groupBy(*keys, "_cell").agg(
-        F.sum("_c").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
-    )
+    rows = base.groupBy(*keys, "_v").agg(F.count("*").alias("_c")).withColumn("_path", F.lit(0).cast("bigint"))
     position = {n: F.lit(p) * (F.col("_size") - 1) for n, p in probs.items()}
-    both_sides = F.array(*[f(x) for x in position.values() for f in (F.floor, F.ceil)])
-    hit = (
-        cells.withColumn("_size", F.sum("_n").over(Window.partitionBy(*keys)))
-        .withColumn("_start", _before("_n", keys, "_cell"))
-        .withColumn("_ranks", _inside(F.array_distinct(both_sides), "_start", "_n"))
-        .filter(F.size("_ranks") > 0)
-        .select(*keys, "_cell", "_low", "_high", "_size", "_start", "_ranks")
-    )
-
-    # Level 2: the same inside the hit cells, with their own smallest and largest value as the range.
-    inner = placed.join(hit, [*keys, "_cell"]).withColumn("_fine", _cell("_v", "_low", "_high", bins))
-    fine = inner.groupBy(*keys, "_cell", "_fine", "_start", "_ranks").agg(F.sum("_c").alias("_n"))
-    fine = (
-        fine.withColumn("_from", F.col("_start") + _before("_n", [*keys, "_cell"], "_fine"))
-        .withColumn("_left", _inside(F.col("_ranks"), "_from", "_n"))
-        .filter(F.size("_left") > 0)
-        .select(*keys, "_cell", "_fine", "_from", "_left")
-    )
+    both_sides = F.array_distinct(F.array(*[f(x) for x in position.values() for f in (F.floor, F.ceil)]))
+    cuts = F.array(*[F.lit(i / cells) for i in range(1, cells)])
+    spread = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
+    at = [*keys, "_path"]
+    scope = None
+    for _ in range(levels):
+        # both are read several times below: each level starts from written rows, so plans stay small
+        rows, scope = cut_lineage(rows), scope and cut_lineage(scope)
+        sketch = rows.groupBy(*at).agg(
+            F.percentile_approx("_v", cuts, 20 * cells).alias("_cuts"), F.sum("_c").alias("_size")
+        )
+        if scope is None:
+            scope = sketch.select(*at, "_size", F.lit(0).cast("bigint").alias("_start")).withColumn("_ranks", both_sides)
+        # the cuts of a group are copied to every salt, so a hot group is spread over `salts` tasks
+        placed = (
+            rows.withColumn("_salt", F.pmod(F.hash("_v"), F.lit(salts)).cast("int"))
+            .join(sketch.select(*at, "_cuts", spread), [*at, "_salt"])
+            .select(*at, "_v", "_c", F.size(F.filter("_cuts", lambda cut: cut < F.col("_v"))).alias("_cell"))
+        )
+        counted = placed.groupBy(*at, "_cell").agg(F.sum("_c").alias("_n")).join(scope, at)
+        hit = (
+            counted.withColumn("_from", F.col("_start") + _before("_n", at, "_cell"))
+            .withColumn("_left", _inside(F.col("_ranks"), "_from", "_n"))
+            .filter(F.size("_left") > 0)
+            .withColumn("_next", F.col("_path") * cells + F.col("_cell"))
+        )
+        rows = placed.join(hit.select(*at, "_cell", "_next"), [*at, "_cell"]).select(*keys, "_v", "_c", F.col("_next").alias("_path"))
+        scope = hit.select(
+            *keys, F.col("_next").alias("_path"), "_size", F.col("_from").alias("_start"), F.col("_left").alias("_ranks")
+        )
 
     # The values of the remaining cells, in order; each wanted rank falls on one of them.
-    rows = inner.select(*keys, "_cell", "_fine", "_v", "_c", "_size").join(fine, [*keys, "_cell", "_fine"])
-    rows = rows.withColumn("_from", F.col("_from") + _before("_c", [*keys, "_cell", "_fine"], "_v"))
-    rows = rows.select(*keys, "_size", "_v", F.explode(_inside(F.col("_left"), "_from", "_c")).alias("_rank"))
+    rows = rows.join(scope, at).withColumn("_from", F.col("_start") + _before("_c", at, "_v"))
+    rows = rows.select(*keys, "_size", "_v", F.explode(_inside(F.col("_ranks"), "_from", "_c")).alias("_rank"))
     found = rows.groupBy(*keys).agg(
         F.max("_size").alias("_size"), F.map_from_entries(F.collect_set(F.struct("_rank", "_v"))).alias("_at")
     )

@@ -16,9 +16,10 @@ MATERIAL_TYPES, PACKAGING_TYPE = ("RM", "SM"), "PM"
 
 
 def unit_cost(items: DataFrame) -> DataFrame:
-    """Mean cost per item, description and type over all periods; an unreadable cost counts as 0."""
+    """Mean cost per item, description and type over all periods; an unreadable cost counts as 0, a row without a key not."""
     cost = nz(tolerant(F.col("pmac"), "double"), 0.0)
-    return items.groupBy("item_no", "description", "item_type").agg(F.avg(cost).alias("avg_pmac"))
+    keys = ["item_no", "description", "item_type"]
+    return items.dropna(subset=keys).groupBy(*keys).agg(F.avg(cost).alias("avg_pmac"))
 
 
 def item_attributes(costs: DataFrame) -> DataFrame:
@@ -40,7 +41,7 @@ def valued_usage(usage: DataFrame, attributes: DataFrame, threshold: float = LOW
 
 
 def factory_summary(usage: DataFrame) -> DataFrame:
-    return usage.groupBy("factory").agg(
+    return usage.dropna(subset=["factory"]).groupBy("factory").agg(
         F.countDistinct("batch").alias("batches"),
         F.countDistinct("product_1").alias("products"),
         nz(F.sum("diff_qty")).alias("net_diff"),
@@ -78,7 +79,7 @@ def best_and_worst(products: DataFrame, n: int = 3) -> DataFrame:
 
 def packaging_summary(valued: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """Packaging variance per factory, worst (most negative) first, with the display name where given."""
-    out = valued.filter(F.col("ingredient_type") == PACKAGING_TYPE).groupBy("factory").agg(
+    out = valued.filter(F.col("ingredient_type") == PACKAGING_TYPE).dropna(subset=["factory"]).groupBy("factory").agg(
         nz(F.sum("plan_value"), 0.0).alias("plan_val"), nz(F.sum("diff_value"), 0.0).alias("diff_val")
     )
     out = out.withColumn("var_pct", safe_pct(F.col("diff_val"), F.col("plan_val")))
@@ -89,7 +90,8 @@ def packaging_summary(valued: DataFrame, names: DataFrame | None = None) -> Data
 
 def worst_packaging_items(valued: DataFrame, n: int = 10) -> DataFrame:
     """The n packaging items of all factories with the lowest variance value."""
-    out = valued.filter(F.col("ingredient_type") == PACKAGING_TYPE).groupBy("factory", "ingredient").agg(
+    packaging = valued.filter(F.col("ingredient_type") == PACKAGING_TYPE).dropna(subset=["factory", "ingredient"])
+    out = packaging.groupBy("factory", "ingredient").agg(
         F.sum("plan_value").alias("plan_val"), F.sum("diff_value").alias("diff_val")
     )
     out = out.withColumn("var_pct", safe_pct(F.col("diff_val"), F.col("plan_val")))

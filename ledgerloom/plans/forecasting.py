@@ -52,7 +52,7 @@ def model_suite(train: DataFrame, target: str = "log_qty", specs: Mapping[str, S
     """Comparison table of the nested models: r2, adj r2, MAPE in original units, F, price and spend coefficients."""
     fit = reg.fit_ols(train, target, specs)
     features = list(dict.fromkeys(f for names in specs.values() for f in names))
-    scored = reg.score_ols(train.dropna(subset=[target, *features]), fit, features)
+    scored = reg.score_ols(train, fit, features)
     quality = reg.accuracy(scored, F.exp(F.col(target)), F.exp(F.col("predicted")), ["spec"]).select("spec", "mape")
     table = fit.select(
         "spec",
@@ -73,7 +73,7 @@ def grouped_models(train: DataFrame, group: str, target: str, price: str = "log_
     specs = {"B": BASE + [price], "F": BASE + [price, "tet_feb"]}
     features = BASE + [price, "tet_feb"]
     fit = reg.fit_ols(train, target, specs, [group])
-    scored = reg.score_ols(train.dropna(subset=[target, *features]), fit, features, [group])
+    scored = reg.score_ols(train, fit, features, [group])
     quality = reg.accuracy(scored, F.exp(F.col(target)), F.exp(F.col("predicted")), [group, "spec"]).select(
         group, "spec", "mape"
     )
@@ -171,7 +171,8 @@ def lag_tests(frame: DataFrame, target: str, base: Sequence[str], spend: str, la
     stacked = frame.select(
         target, *base, F.inline(F.array(*[F.struct(F.lit(n).alias("lag"), F.col(column(n)).alias("lagged")) for n in lags]))
     )
-    fit = reg.fit_ols(stacked, target, {"base": list(base), "lagged": [*base, "lagged"]}, ["lag"])
+    both_known = stacked.dropna(subset=["lagged"])  # the base model of a lag uses the rows of the lagged one
+    fit = reg.fit_ols(both_known, target, {"base": list(base), "lagged": [*base, "lagged"]}, ["lag"])
     both = fit.groupBy("lag").agg(
         F.max("n").alias("n"),
         F.max(F.when(F.col("spec") == "base", F.col("r2"))).alias("r2_base"),
@@ -209,7 +210,7 @@ def macro_screening(frame: DataFrame, regressors: Sequence[str], target: str = "
     fit = reg.fit_ols(rows, target, {"all": list(regressors)})
     scored = reg.score_ols(rows, fit, regressors)
     mae = reg.accuracy(scored, F.col(target), F.col("predicted")).select("mae").scalar()
-    significant, verdict = reg.screening_verdict(F.col("r2"), F.col("p_f"))
+    significant, verdict = reg.combined_verdict(F.col("r2"), F.col("p_f"))
     combined = fit.select(
         F.col("spec").alias("x"),
         "r2",

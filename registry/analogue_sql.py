@@ -50,9 +50,9 @@ CTES: dict[str, str] = {
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R' GROUP BY 1""",
     "application": """SELECT user_id AS skp_credit_case, CASE WHEN event_type IN ('signup','purchase') THEN 5 WHEN event_type = 'view' THEN NULL ELSE 2 END AS skp_class_status_acquisition,
   ts AS dtime_proposal, CASE WHEN event_type = 'error' THEN 'Y' ELSE 'N' END AS flag_deleted, event_id FROM events""",
-    "taxonomy": """SELECT skp_credit_case, skp_class_status_acquisition FROM (
-  SELECT *, row_number() OVER (PARTITION BY skp_credit_case ORDER BY dtime_proposal DESC, event_id DESC) AS rnk
-  FROM application WHERE flag_deleted = 'N') WHERE rnk = 1""",
+    "taxonomy": """SELECT skp_credit_case, last['c'] AS skp_class_status_acquisition FROM (
+  SELECT skp_credit_case, arg_max({'c': skp_class_status_acquisition}, {'d': dtime_proposal, 'e': event_id}) AS last
+  FROM application WHERE flag_deleted = 'N' GROUP BY 1)""",
     "rate_grid": """SELECT DISTINCT split_part(code_cross, '-', 2) AS suffix, mo FROM acc_source WHERE code_cross IS NOT NULL""",
     "provisioning_rate": """SELECT prefix || '-' || suffix AS code_cross, mo,
   CAST(coalesce(try_cast(substr(suffix, 2) AS INT), 0) * CAST(0.0008 AS DECIMAL(9,6)) + 0.0010 AS DECIMAL(9,6)) AS rate_provisioning_stage_2_3
@@ -90,7 +90,7 @@ CTES: dict[str, str] = {
         for n, m in ((2, 802), (3, 816))
     )
     + " FROM line_amounts GROUP BY 1, 2",
-    "batch_usage": """SELECT 'F' || CAST(s_nationkey % 4 AS VARCHAR) AS factory, 'Factory ' || substr('ABCD', s_nationkey % 4 + 1, 1) AS factory_name,
+    "batch_usage": """SELECT CASE WHEN l_suppkey % 25 <> 3 THEN 'F' || CAST(s_nationkey % 4 AS VARCHAR) END AS factory, 'Factory ' || substr('ABCD', s_nationkey % 4 + 1, 1) AS factory_name,
   CAST(l_orderkey AS VARCHAR) AS batch,
   CASE WHEN p_size = 50 THEN NULL WHEN p_size % 10 = 9 THEN '99' || p_brand ELSE p_brand END AS product_1, p_type AS product_1_description,
   CAST(l_partkey AS VARCHAR) AS ingredient, l_shipdate AS start_date,
@@ -99,17 +99,18 @@ CTES: dict[str, str] = {
   CAST(l_quantity AS DECIMAL(12,2)) * (CAST(l_tax AS DECIMAL(4,2)) - CAST(l_discount AS DECIMAL(4,2))) AS diff_qty,
   CAST(l_tax AS DECIMAL(4,2)) - CAST(l_discount AS DECIMAL(4,2)) AS diff_percent
   FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey""",
-    "item_cost": """SELECT CAST(p_partkey AS VARCHAR) AS item_no, CASE WHEN i < 2 THEN p_name ELSE p_name || ' v2' END AS description,
+    "item_cost": """SELECT CAST(p_partkey AS VARCHAR) AS item_no, CASE WHEN i = 2 AND p_partkey % 6 = 1 THEN NULL WHEN i < 2 THEN p_name ELSE p_name || ' v2' END AS description,
   CASE WHEN p_size % 3 = 0 THEN 'RM' WHEN p_size % 3 = 1 THEN 'SM' ELSE 'PM' END AS item_type, 'kg' AS uom,
   '0' || CAST(i + 1 AS VARCHAR) || '-25' AS period_name,
   CASE WHEN i = 3 AND p_partkey % 40 = 1 THEN 'n/a' ELSE CAST(CAST(CAST(p_retailprice AS DECIMAL(12,2)) + i * 0.50 AS DECIMAL(12,2)) AS VARCHAR) END AS pmac
   FROM part, range(0, 4) AS r(i) WHERE p_size <> 13""",
-    "unit_cost": """SELECT item_no, description, item_type, avg(coalesce(try_cast(pmac AS DOUBLE), 0)) AS avg_pmac FROM item_cost GROUP BY 1, 2, 3""",
+    "unit_cost": """SELECT item_no, description, item_type, avg(coalesce(try_cast(pmac AS DOUBLE), 0)) AS avg_pmac FROM item_cost
+  WHERE item_no IS NOT NULL AND description IS NOT NULL AND item_type IS NOT NULL GROUP BY 1, 2, 3""",
     "cost_map": """SELECT item_no AS ingredient, avg(avg_pmac) AS unit_cost, arg_min(item_type, description) AS ingredient_type FROM unit_cost GROUP BY 1""",
     "valued": """SELECT b.*, unit_cost, ingredient_type, plan_qty::DOUBLE * unit_cost AS plan_value, actual_qty::DOUBLE * unit_cost AS actual_value, diff_qty::DOUBLE * unit_cost AS diff_value
   FROM batch_usage b JOIN cost_map USING (ingredient) WHERE unit_cost >= 910""",
     "sales_txn": """SELECT o_orderdate AS trx_date, CAST(o_totalprice AS DECIMAL(18,2)) AS sale, o_orderpriority, o_custkey
-  FROM orders WHERE o_orderdate < TIMESTAMP '2001-08-01'""",
+  FROM orders""",
     "monthly_sales": f"""SELECT {month('trx_date')} AS year_month, CAST(sum(sale) AS DOUBLE) AS total_sale FROM sales_txn GROUP BY 1""",
     "group_sales": f"""SELECT {month('trx_date')} AS year_month, o_orderpriority AS grp, CAST(sum(sale) AS DOUBLE) AS qty FROM sales_txn GROUP BY 1, 2""",
     "channel_sales": f"""SELECT {month('trx_date')} AS year_month, c_mktsegment AS channel, CAST(sum(sale) AS DOUBLE) AS qty,
@@ -120,9 +121,9 @@ CTES: dict[str, str] = {
   CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) FILTER (l_returnflag = 'R') AS DOUBLE) / 1e6 AS mkt_old,
   CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) FILTER (l_linestatus = 'O') AS DOUBLE) / 1e6 AS mkt_new
   FROM lineitem GROUP BY 1""",
-    "mkt_ledger": """SELECT CASE WHEN l_suppkey % 20 = 0 THEN 'total' ELSE CAST(month(l_shipdate) AS VARCHAR) || '-' || lpad(CAST(year(l_shipdate) % 100 + 20 AS VARCHAR), 2, '0') END AS period,
+    "mkt_ledger": """SELECT l_returnflag AS account, CASE WHEN l_suppkey % 20 = 0 THEN 'total' ELSE CAST(month(l_shipdate) AS VARCHAR) || '-' || lpad(CAST(year(l_shipdate) % 100 + 20 AS VARCHAR), 2, '0') END AS period,
   CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE CASE WHEN l_linenumber = 7 THEN -1 ELSE 1 END * CAST(l_extendedprice AS DECIMAL(18,2)) END AS amount
-  FROM lineitem WHERE l_returnflag = 'A'""",
+  FROM lineitem""",
     "customer_orders": """SELECT c.*, n_orders, sales, n_f, n_prio, first_order, last_order FROM customer c LEFT JOIN (
   SELECT o_custkey, count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS sales,
     count(*) FILTER (o_orderstatus = 'F') AS n_f, count(DISTINCT o_orderpriority) AS n_prio, min(o_orderdate) AS first_order, max(o_orderdate) AS last_order
@@ -154,11 +155,12 @@ CTES: dict[str, str] = {
   CASE WHEN o_custkey % 19 = 0 THEN NULL ELSE ['Benh vien','Truong hoc','KHACH SAN','Doc hai','Kinh doanh','Khac'][o_custkey % 6 + 1] END AS profile_class,
   CASE WHEN o_custkey % 23 = 0 THEN NULL ELSE CASE WHEN o_custkey % 2 = 0 THEN 'KA01-' ELSE 'KA00-' END || ['CQXX','BVXX','GKCF','B2BL','YYYY'][o_custkey % 5 + 1] END AS category_code
   FROM ar_base""",
-    "video_post": r"""SELECT doc_id, CASE WHEN quality = 1 THEN 'claim' ELSE 'opinion' END AS claim_status,
-  CASE WHEN toxic = 1 THEN 'not verified' ELSE 'verified' END AS verified_status, n_chars AS view_count,
+    "video_post": """SELECT p.*, CASE WHEN quality = 1 THEN 'claim' ELSE 'opinion' END AS claim_status,
+  CASE WHEN toxic = 1 THEN 'not verified' ELSE 'verified' END AS verified_status FROM post_measures p JOIN labels USING (doc_id)""",
+    "post_measures": r"""SELECT doc_id, n_chars AS view_count,
   len(regexp_split_to_array(text, '\s+')) AS like_count, len(string_split(text, chr(10))) AS share_count,
   CASE WHEN doc_id % 13 = 0 THEN NULL ELSE len(regexp_split_to_array(text, '\s+')) + doc_id % 50 END AS download_count,
-  doc_id * 7 % 60 AS duration_sec, text FROM documents JOIN labels USING (doc_id)""",
+  doc_id * 7 % 60 AS duration_sec, text FROM documents""",
     "employee_base": """SELECT *, CAST(coalesce(n_orders, 0) % 6 + 2 AS BIGINT) AS number_project,
   CAST(floor(CAST(coalesce(sales, 0) AS DOUBLE) / greatest(coalesce(n_orders, 0), 1) / 2000) AS BIGINT) % 150 + 120 AS average_monthly_hours,
   coalesce(date_diff('day', CAST(first_order AS DATE), CAST(last_order AS DATE)), 0) AS days FROM customer_orders""",

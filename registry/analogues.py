@@ -237,7 +237,7 @@ class Tables:
         plan = money("l_quantity", 12, 2)
         change = money("l_tax", 4, 2) - money("l_discount", 4, 2)
         return self("lineitem").join(parts, "l_partkey").join(sites, "l_suppkey").select(
-            F.concat(F.lit("F"), F.col("f").cast("string")).alias("factory"),
+            F.when(F.col("l_suppkey") % 25 != 3, F.concat(F.lit("F"), F.col("f").cast("string"))).alias("factory"),
             F.concat(F.lit("Factory "), F.substring(F.lit("ABCD"), F.col("f") + 1, F.lit(1))).alias("factory_name"),
             F.col("l_orderkey").cast("string").alias("batch"),
             F.when(F.col("p_size") == 50, None).when(F.col("p_size") % 10 == 9, F.concat(F.lit("99"), "p_brand")).otherwise(F.col("p_brand")).alias("product_1"),
@@ -252,8 +252,8 @@ class Tables:
 
     @once
     def item_cost(self) -> DataFrame:
-        """Four cost rows per part: two periods, then a renamed item, then one with an unreadable cost. Parts of
-        size 13 have no cost."""
+        """Four cost rows per part: two periods, then a renamed item (some without a description), then one with an
+        unreadable cost. Parts of size 13 have no cost."""
         price = money("p_retailprice", 12, 2)
         step = F.explode(F.sequence(F.lit(0), F.lit(3)))
         rows = self("part").filter("p_size <> 13").select("*", step.alias("i"))
@@ -261,7 +261,7 @@ class Tables:
         cost = (price + F.col("i") * dec("0.50")).cast("decimal(12,2)").cast("string")
         return rows.select(
             F.col("p_partkey").cast("string").alias("item_no"),
-            F.when(F.col("i") < 2, F.col("p_name")).otherwise(F.concat("p_name", F.lit(" v2"))).alias("description"),
+            F.when((F.col("i") == 2) & (F.col("p_partkey") % 6 == 1), None).when(F.col("i") < 2, F.col("p_name")).otherwise(F.concat("p_name", F.lit(" v2"))).alias("description"),
             kind.alias("item_type"),
             F.lit("kg").alias("uom"),
             F.concat(F.lit("0"), (F.col("i") + 1).cast("string"), F.lit("-25")).alias("period_name"),
@@ -272,8 +272,8 @@ class Tables:
 
     @once
     def sales_txn(self) -> DataFrame:
-        """Order totals; the last month holds two rows only and is left out."""
-        return self("orders").filter(F.col("o_orderdate") < F.lit("2001-08-01").cast("timestamp")).select(
+        """Order totals, priorities and customers."""
+        return self("orders").select(
             F.col("o_orderdate").alias("trx_date"),
             money("o_totalprice").alias("sale"),
             "o_orderpriority",
@@ -321,13 +321,13 @@ class Tables:
 
     @once
     def mkt_ledger(self) -> DataFrame:
-        """Ledger lines of a spend account: period 'm-yy' and amount with thousands separators, both as text."""
+        """Ledger lines with their account: period 'm-yy' and amount with thousands separators, both as text."""
         day = F.col("l_shipdate")
         yy = F.lpad((F.year(day) % 100 + 20).cast("string"), 2, "0")
         number = F.when(F.col("l_linenumber") == 7, -money("l_extendedprice")).otherwise(money("l_extendedprice"))
         value = F.when(F.col("l_partkey") % 50 == 0, "-").otherwise(F.concat(F.lit(" "), F.format_number(number, 2), F.lit(" ")))
         period = F.when(F.col("l_suppkey") % 20 == 0, "total").otherwise(F.concat(F.month(day).cast("string"), F.lit("-"), yy))
-        return self("lineitem").filter("l_returnflag = 'A'").select(period.alias("period"), value.alias("value"))
+        return self("lineitem").select(F.col("l_returnflag").alias("account"), period.alias("period"), value.alias("value"))
 
     # --- forms and customers ---------------------------------------------------------------------------------
 
@@ -401,12 +401,20 @@ class Tables:
     @once
     def video_post(self) -> DataFrame:
         """Labelled documents: claim/opinion from the quality label, verified from the toxic label."""
-        words = F.size(F.split("text", r"\s+"))
-        lines = F.size(F.split("text", "\n"))
-        return self("documents").join(self("labels"), "doc_id").select(
+        status = self("labels").select(
             "doc_id",
             F.when(F.col("quality") == 1, "claim").otherwise("opinion").alias("claim_status"),
             F.when(F.col("toxic") == 1, "not verified").otherwise("verified").alias("verified_status"),
+        )
+        return status.join(self.post_measures(), "doc_id")
+
+    @once
+    def post_measures(self) -> DataFrame:
+        """Counts of every document."""
+        words = F.size(F.split("text", r"\s+"))
+        lines = F.size(F.split("text", "\n"))
+        return self("documents").select(
+            "doc_id",
             F.col("n_chars").alias("view_count"),
             words.cast("bigint").alias("like_count"),
             lines.cast("bigint").alias("share_count"),

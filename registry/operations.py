@@ -51,13 +51,14 @@ def _(t: Tables):
 
 @query(
     "src03_csv_folder_scan",
-    f"SELECT item_no, period_name, pmac FROM item_cost WHERE period_name <> '04-25'",
+    "SELECT item_no, period_name, pmac FROM item_cost",
 )
 def _(t: Tables):
     path = scratch(t.spark)
     rows = t.item_cost()
-    # file names start with the period's digits; only the folder's fitting names are read, and only kept columns parsed
-    rows.filter("period_name <> '04-25'").write.option("header", True).mode("overwrite").csv(f"{path}/2025")
+    # the folder also holds the same rows as JSON, which the name pattern leaves out; only kept columns are parsed
+    rows.write.option("header", True).mode("overwrite").csv(f"{path}/2025")
+    rows.write.mode("append").json(f"{path}/2025")
     return csv_folder(t.spark, f"{path}/2025", "part-*.csv", ITEMS, ["item_no", "period_name", "pmac"])
 
 
@@ -185,7 +186,7 @@ def _(t: Tables):
 
 @query(
     "ag15_factory_summary",
-    f"SELECT factory, count(DISTINCT batch) AS batches, count(DISTINCT product_1) AS products, {r('sum(diff_qty)', 'net_diff')}, {r('avg(diff_percent::DOUBLE) * 100', 'avg_diff_pct')} FROM batch_usage GROUP BY 1",
+    f"SELECT factory, count(DISTINCT batch) AS batches, count(DISTINCT product_1) AS products, {r('sum(diff_qty)', 'net_diff')}, {r('avg(diff_percent::DOUBLE) * 100', 'avg_diff_pct')} FROM batch_usage WHERE factory IS NOT NULL GROUP BY 1",
 )
 def _(t: Tables):
     return bv.factory_summary(t.batch_usage().withColumn("diff_percent", F.col("diff_percent").cast("double")))
@@ -311,7 +312,7 @@ def _(t: Tables):
     return bv.best_and_worst(material(t))
 
 
-PACK = f"SELECT factory, ingredient, {r('sum(plan_value)', 'plan_val', 5)}, {r('sum(diff_value)', 'diff_val', 5)}, {r('sum(diff_value) / sum(plan_value) * 100', 'var_pct', 5)} FROM valued WHERE ingredient_type = 'PM' GROUP BY 1, 2"
+PACK = f"SELECT factory, ingredient, {r('sum(plan_value)', 'plan_val', 5)}, {r('sum(diff_value)', 'diff_val', 5)}, {r('sum(diff_value) / sum(plan_value) * 100', 'var_pct', 5)} FROM valued WHERE ingredient_type = 'PM' AND factory IS NOT NULL GROUP BY 1, 2"
 
 
 @query("so05_worst_packaging_items", f"{PACK} ORDER BY sum(diff_value), factory, ingredient LIMIT 10", digits=5)
@@ -336,11 +337,11 @@ def _(t: Tables):
 
 @query(
     "st02_concat_periods",
-    "SELECT 'F' AS src, o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 'O', o_orderkey, NULL FROM orders WHERE o_orderstatus = 'O'",
+    "SELECT 'F' AS src, o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_orderstatus, o_orderkey, NULL FROM orders WHERE o_orderstatus <> 'F'",
 )
 def _(t: Tables):
     first = t("orders").filter("o_orderstatus = 'F'").select(F.lit("F").alias("src"), "o_orderkey", "o_totalprice")
-    second = t("orders").filter("o_orderstatus = 'O'").select(F.lit("O").alias("src"), "o_orderkey")
+    second = t("orders").filter("o_orderstatus <> 'F'").select(F.col("o_orderstatus").alias("src"), "o_orderkey")
     return concat_frames([first, second])
 
 
@@ -390,7 +391,7 @@ def _(t: Tables):
 @query(
     "dp09_packaging_variance",
     f"""SELECT factory, {r('sum(plan_value)', 'plan_val', 2)}, {r('sum(diff_value)', 'diff_val', 2)}, {r('sum(diff_value) / sum(plan_value) * 100', 'var_pct', 2)}, min(factory_name) AS name
-  FROM valued WHERE ingredient_type = 'PM' GROUP BY 1""",
+  FROM valued WHERE ingredient_type = 'PM' AND factory IS NOT NULL GROUP BY 1""",
     digits=2,
 )
 def _(t: Tables):

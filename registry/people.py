@@ -219,9 +219,9 @@ def _(t: Tables):
     return pf.event_rate(t.employee(), "number_project", "left_company")
 
 
-@query("ag19_pairwise_correlation", " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, {r(f'corr({a}, {b})', 'r')} FROM video_post" for i, a in enumerate(POST_MEASURES) for b in POST_MEASURES[i + 1:]))
+@query("ag19_pairwise_correlation", " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, {r(f'corr({a}, {b})', 'r')} FROM post_measures" for i, a in enumerate(POST_MEASURES) for b in POST_MEASURES[i + 1:]))
 def _(t: Tables):
-    return pf.correlations(t.video_post(), POST_MEASURES)
+    return pf.correlations(t.post_measures(), POST_MEASURES)
 
 
 @query(
@@ -229,12 +229,12 @@ def _(t: Tables):
     f"""SELECT s."column", n, missing, {r('q1', 'q1')}, {r('median', 'median')}, {r('q3', 'q3')}, {r('q1 - 1.5 * (q3 - q1)', 'low')}, {r('q3 + 1.5 * (q3 - q1)', 'high')},
   (SELECT count(*) FROM post_cells c WHERE c."column" = s."column" AND (v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1))) AS outliers FROM post_stats s""",
     {
-        "post_cells": " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS v FROM video_post" for c in POST_MEASURES),
+        "post_cells": " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS v FROM post_measures" for c in POST_MEASURES),
         "post_stats": 'SELECT "column", count(*) AS n, count(*) - count(v) AS missing, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3 FROM post_cells GROUP BY 1',
     },
 )
 def _(t: Tables):
-    return pf.missing_profile(t.video_post(), POST_MEASURES)
+    return pf.missing_profile(t.post_measures(), POST_MEASURES)
 
 
 @query("so04_top_10_by_magnitude", f"SELECT c_custkey, {r('c_acctbal - 4000', 'gap', 2)} FROM customer ORDER BY abs(c_acctbal - 4000) DESC, c_custkey LIMIT 10", digits=2)
@@ -391,7 +391,7 @@ def _(t: Tables):
 @query("ml22_random_forest")
 def _(t: Tables):
     train, test = staff_split(t)
-    return cl.predict(cl.forest(train, STAFF, "left_company", trees=50), test, STAFF, KEEP)
+    return cl.predict(cl.forest(train, STAFF, "left_company"), test, STAFF, KEEP)
 
 
 @query("ml23_model_agreement", f"SELECT count(*) AS n, {r('avg(CAST(prediction = other AS DOUBLE))', 'agreement')} FROM rule", RULE)
@@ -409,19 +409,19 @@ def _(t: Tables):
 @query("ml25_boosted_trees")
 def _(t: Tables):
     train, test = staff_split(t)
-    return cl.predict(cl.boosted(train, STAFF, "left_company", rounds=10), test, STAFF, KEEP)
+    return cl.predict(cl.boosted(train, STAFF, "left_company"), test, STAFF, KEEP)
 
 
 @query("ml26_grid_search")
 def _(t: Tables):
     train, _ = staff_split(t)
-    return cl.grid_search(train, STAFF, "left_company", "emp_id", trees=(10, 20))
+    return cl.grid_search(train, STAFF, "left_company", "emp_id")
 
 
 @query("ml27_feature_importance")
 def _(t: Tables):
     train, _ = staff_split(t)
-    return cl.importance_table(train, cl.forest(train, STAFF, "left_company", trees=20), STAFF)
+    return cl.importance_table(train, cl.forest(train, STAFF, "left_company"), STAFF)
 
 
 @query(
@@ -453,10 +453,10 @@ COLLINEAR = ["view_count", "like_count", "share_count", "duration_sec"]
     "ml30_drop_collinear",
     """SELECT f AS feature FROM (SELECT true AS k1, abs(vl) <= 0.8 AS k2, abs(vs) <= 0.8 AND (abs(vl) > 0.8 OR abs(ls) <= 0.8) AS k3, vd, ld, sd FROM c4), LATERAL (SELECT unnest(['view_count', 'like_count', 'share_count', 'duration_sec']) AS f)
   WHERE CASE f WHEN 'view_count' THEN k1 WHEN 'like_count' THEN k2 WHEN 'share_count' THEN k3 ELSE abs(vd) <= 0.8 AND (NOT k2 OR abs(ld) <= 0.8) AND (NOT k3 OR abs(sd) <= 0.8) END""",
-    {"c4": "SELECT corr(view_count, like_count) AS vl, corr(view_count, share_count) AS vs, corr(like_count, share_count) AS ls, corr(view_count, duration_sec) AS vd, corr(like_count, duration_sec) AS ld, corr(share_count, duration_sec) AS sd FROM video_post"},
+    {"c4": "SELECT corr(view_count, like_count) AS vl, corr(view_count, share_count) AS vs, corr(like_count, share_count) AS ls, corr(view_count, duration_sec) AS vd, corr(like_count, duration_sec) AS ld, corr(share_count, duration_sec) AS sd FROM post_measures"},
 )
 def _(t: Tables):
-    kept = pf.without_collinear(t.video_post(), COLLINEAR, 0.8)
+    kept = pf.without_collinear(t.post_measures(), COLLINEAR, 0.8)
     return t.spark.createDataFrame([(c,) for c in kept], "feature string")
 
 
@@ -468,7 +468,7 @@ def _(t: Tables):
 @query("ml32_kmeans_sweep")
 def _(t: Tables):
     rows, features = cu.cluster_features(cu.customer_profile(t.ar_site()))
-    return km.sweep(rows, features, ["customer_number"], starts=2)[0]
+    return km.sweep(rows, features, ["customer_number"])[0]
 
 
 @query(
@@ -496,9 +496,9 @@ def _(t: Tables):
 @query("dp18_classifier_comparison")
 def _(t: Tables):
     rows = t.employee().select("emp_id", "left_company", *[F.col(c).cast("double").alias(c) for c in STAFF])
-    return bakeoff.compare_classifiers(rows, STAFF, "left_company", "emp_id", trees=20, rounds=10)
+    return bakeoff.compare_classifiers(rows, STAFF, "left_company", "emp_id")
 
 
 @query("dp18_form_classifier")
 def _(t: Tables):
-    return bakeoff.classify_forms(saved_forms(t), trees=20)["report"]
+    return bakeoff.classify_forms(saved_forms(t))["report"]

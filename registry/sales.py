@@ -74,10 +74,12 @@ def _(t: Tables):
     return side(first, "train").unionByName(side(second, "validation"))
 
 
-@query("jn13_merge_monthly_series", f"SELECT s.year_month, {r('total_sale', 'total_sale')}, {r('cpi', 'cpi')}, {r('q', 'urgent')} FROM monthly_sales s LEFT JOIN macro USING (year_month) LEFT JOIN (SELECT year_month, qty AS q FROM group_sales WHERE grp = '1-URGENT') USING (year_month)")
+@query("jn13_merge_monthly_series", f"SELECT s.year_month, {r('total_sale', 'total_sale')}, {r('cpi', 'cpi')}, {r('q', 'urgent')}, {r('o', 'other')} FROM monthly_sales s LEFT JOIN macro USING (year_month) LEFT JOIN (SELECT year_month, sum(qty) FILTER (grp = '1-URGENT') AS q, sum(qty) FILTER (grp <> '1-URGENT') AS o FROM group_sales GROUP BY 1) USING (year_month)")
 def _(t: Tables):
     urgent = t.group_sales().filter("grp = '1-URGENT'").select("year_month", F.col("qty").alias("urgent"))
-    return merge_series([t.monthly_sales(), t.macro(), urgent], "year_month").select("year_month", "total_sale", "cpi", "urgent")
+    other = t.group_sales().filter("grp <> '1-URGENT'").groupBy("year_month").agg(F.sum("qty").alias("other"))
+    merged = merge_series([t.monthly_sales(), t.macro(), urgent, other], "year_month")
+    return merged.select("year_month", "total_sale", "cpi", "urgent", "other")
 
 
 @query("ag09_monthly_totals", f"SELECT year_month, {r('total_sale', 'total_sale')} FROM monthly_sales")
@@ -413,7 +415,7 @@ def _(t: Tables):
     "dp15_spend_regression",
     f"SELECT x, y, n, {r('slope', 'slope')}, {r('intercept', 'intercept', 1)}, {r('r2', 'r2')}, {r(P, 'p')} FROM simple",
     {
-        "spend": "SELECT '20' || split_part(period, '-', 2) || '-' || lpad(split_part(period, '-', 1), 2, '0') AS year_month, CAST(sum(amount) AS DOUBLE) AS marketing_spend FROM mkt_ledger WHERE amount > 0 AND period LIKE '%-%' GROUP BY 1",
+        "spend": "SELECT '20' || split_part(period, '-', 2) || '-' || lpad(split_part(period, '-', 1), 2, '0') AS year_month, CAST(sum(amount) AS DOUBLE) AS marketing_spend FROM mkt_ledger WHERE account = 'A' AND amount > 0 AND period LIKE '%-%' GROUP BY 1",
         "spend_rows": "SELECT total_sale, marketing_spend FROM monthly_sales m JOIN spend s ON CAST(left(s.year_month, 4) AS INT) - 2000 = (CAST(left(m.year_month, 4) AS INT) % 100 + 20) AND right(s.year_month, 2) = right(m.year_month, 2)",
         "simple": simple_sql("spend_rows", "marketing_spend", "total_sale"),
     },
@@ -424,7 +426,7 @@ def _(t: Tables):
     sales = t.monthly_sales().withColumn("_y", year).select(
         F.concat(F.lit("20"), F.col("_y").cast("string"), F.substring("year_month", 5, 3)).alias("year_month"), "total_sale"
     )
-    out = fc.spend_regression(sales, t.mkt_ledger())
+    out = fc.spend_regression(sales, t.mkt_ledger().filter("account = 'A'"))
     return out.select("x", "y", "n", "slope", F.round("intercept", 1).alias("intercept"), "r2", "p")
 
 
@@ -440,7 +442,7 @@ def _(t: Tables):
 
 @query(
     "dp17_macro_screening",
-    f"""SELECT x, {r('r2', 'r2')}, {r('p', 'p')}, {r('slope', 'slope', 1)}, {r('f', 'f_stat')}, {r('mae', 'mae', 1)}, CASE WHEN p < 0.05 THEN 'Yes' ELSE 'No' END AS significant, {VERDICT} AS verdict FROM
+    f"""SELECT x, {r('r2', 'r2')}, {r('p', 'p')}, {r('slope', 'slope', 1)}, {r('f', 'f_stat')}, {r('mae', 'mae', 1)}, CASE WHEN p < 0.05 THEN 'Yes' ELSE 'No' END AS significant, CASE WHEN x <> 'all' THEN {VERDICT} WHEN r2 < 0.2 THEN 'EXCLUDE: combined R2 too low' WHEN p < 0.05 THEN 'KEEP' ELSE 'EXCLUDE: not significant' END AS verdict FROM
   (SELECT s.x, r2, {P} AS p, slope, r2 / (1 - r2) * (n - 2) AS f, mae FROM simple s JOIN maes m ON m.x = s.x UNION ALL SELECT 'all', r2, {f_tail('f_stat', '3', 'n - 4')}, NULL, f_stat,
     (SELECT avg(abs(total_sale - intercept - b[1] * cpi - b[2] * rate - b[3] * gdp)) FROM train, fit) FROM fit)""",
     {

@@ -25,21 +25,31 @@ def skewed(spark):
     return spark.createDataFrame(data, "g string, v double"), data
 
 
-@pytest.mark.parametrize("few", [True, False, None])
-@pytest.mark.parametrize("bins", [4, 4096])
-def test_quantiles_are_exact(skewed, few, bins):
+@pytest.mark.parametrize("cells,levels", [(4, 1), (256, 2)])
+def test_quantiles_are_exact(skewed, cells, levels):
     df, data = skewed
     probs = {"q1": 0.25, "med": 0.5, "p99": 0.99, "low": 0.0, "high": 1.0}
-    got = {r["g"]: r for r in quantiles(df, ["g"], "v", probs, few_values=few, bins=bins).collect()}
+    got = {r["g"]: r for r in quantiles(df, ["g"], "v", probs, cells=cells, levels=levels).collect()}
     for g in ("hot", "cold", "lone", "same"):
         vals = [v for k, v in data if k == g and v is not None]
         for name, p in probs.items():
             assert got[g][name] == pytest.approx(np.quantile(vals, p), rel=1e-12), (g, name)
     assert "none" not in got
-    whole = quantiles(df, [], "v", {"med": 0.5}, few_values=few, bins=bins).first()["med"]
+    whole = quantiles(df, [], "v", {"med": 0.5}, cells=cells, levels=levels).first()["med"]
     assert whole == pytest.approx(np.median([v for _, v in data if v is not None]), rel=1e-12)
 
 
+def test_outliers_do_not_fill_a_cell(spark):
+    """Two far values leave the cells even."""
+    df = spark.range(40_000).select((F.col("id") % 39_989 / 7.0).alias("v")).union(spark.createDataFrame([(1e15,), (1e10,)], "v double"))
+    got = quantiles(df, [], "v", {"med": 0.5, "p90": 0.9}, cells=16, levels=2).first()
+    values_ = [i % 39_989 / 7.0 for i in range(40_000)] + [1e15, 1e10]
+    assert (got["med"], got["p90"]) == (pytest.approx(np.quantile(values_, 0.5)), pytest.approx(np.quantile(values_, 0.9)))
+    cuts = df.select("v").distinct().agg(F.percentile_approx("v", F.array(*[F.lit(i / 16) for i in range(1, 16)]), 320).alias("c")).first()["c"]
+    cell = np.searchsorted(cuts, sorted(set(values_)), side="left")
+    assert np.bincount(cell).max() <= 1.3 * 39_991 / 16
+
+
 def test_hash_rank_is_a_permutation_per_stratum(spark):
     df = spark.range(3000).select("id", F.when(F.col("id") % 10 == 0, "rare").when(F.col("id") % 7 == 0, None).otherwise("hot").alias("y"))
     got = hash_rank(df, ["y"], "id").collect()

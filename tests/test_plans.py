@@ -303,3 +303,10 @@ def test_published_regression_figures(spark):
     assert (round(row["r2"], 4), round(row["adj_r2"], 4), round(row["p_f"], 4), round(row["f_stat"], 4)) == (0.1606, 0.1235, 0.0074, 4.3362)
     mae = reg.accuracy(reg.score_ols(df, fit, names), F.col("TOTAL_SALE"), F.col("predicted")).first()["mae"]
     assert round(mae / 1e6, 1) == 48.6
+    verdicts = {r["x"]: r["verdict"] for r in fc.macro_screening(df, names, "TOTAL_SALE").collect()}
+    assert verdicts == {
+        "CPI_YOY_PCT": "EXCLUDE: very weak explanatory power",
+        "INTEREST_RATE_PCT": "EXCLUDE: weak explanatory power",
+        "GDP_GROWTH_PCT": "EXCLUDE: weak explanatory power",
+        "all": "EXCLUDE: combined R2 too low",
+    }
