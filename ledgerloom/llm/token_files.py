@@ -1,10 +1,10 @@
 """Token ids in Arrow files of equal-length sequences.
 
 The texts are encoded where they are read. Documents are cut into ranges of ascending id with about `range_bytes` of text
-each; token counts per range give every range its offset in the whole stream, and each range becomes one Arrow IPC
-file. Its record batches hold two fixed-size-list columns, `ids` and `mask` (false on the padding of the last sequence), so
+each, and each range becomes one Arrow IPC file that states its range and its number of ids; those of the files before it are
+its offset in the whole stream. Its record batches hold two fixed-size-list columns, `ids` and `mask` (false on the padding of the last sequence), so
 sequence k is a slice of a memory-mapped buffer without a copy or a decoder; `doc_ids` and `doc_lengths` name the
-documents that start in a sequence, and the schema metadata has the stream offset of the file.
+documents that start in a sequence.
 
 Files are written and read by Spark's own sources, so they reach any store that Spark reaches and a lost task leaves no
 half file: the text sink writes the bytes of one row per file, its "line separator" being the last byte of the Arrow
@@ -26,18 +26,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.storage import saved
-
 MAGIC_END = b"1"  # last byte of the trailing "ARROW1" of an Arrow IPC file
 RANGE_BYTES = 4 << 20
-CACHED_WORDS = 200_000
-_SEPARATOR = "<|endoftext|>"
+CACHED_WORDS = 300_000
+_TAIL = ".,;:!?)"  # punctuation that is one piece of its own behind letters
 
 
 class WordEncoder:
-    """Ids of texts by a tokenizer whose pre-tokenizer drops white space, so that words are encoded once and remembered.
+    """Ids of texts by a tokenizer that drops white space before it splits, so that words are encoded once and remembered.
 
-    New words of a batch are encoded together, with a special token between them to find their ends.
+    Most words are one run of letters with or without punctuation behind it, which the pre-tokenizer splits in two. Such
+    pieces are remembered, too, and new ones are encoded many at a time: the last token of a piece has the word-end
+    mark. Any other word is encoded by itself.
     """
 
     def __init__(self, path: str):
@@ -45,39 +45,61 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.mark = self.tokenizer.token_to_id(_SEPARATOR)
-        self.width = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.known: dict[bytes, bytes] = {}
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width)
+        vocabulary = self.tokenizer.get_vocab()
+        self.width = np.dtype("<u2") if max(vocabulary.values()) < 1 << 16 else np.dtype("<u4")
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.words: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.width) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_pieces(self, new: list[str]) -> None:
+        for low in range(0, len(new), 10_000):
+            part = new[low : low + 10_000]
+            ids = self._ids([" ".join(part)])[0]
+            cuts = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1]) * self.width.itemsize
+            raw = ids.tobytes()
+            if len(cuts) != len(part) + 1 or cuts[-1] != len(raw):
+                self.pieces.update(zip(part, (x.tobytes() for x in self._ids(part))))
+                continue
+            for piece, a, b in zip(part, cuts[:-1].tolist(), cuts[1:].tolist()):
+                self.pieces[piece] = raw[a:b]
 
     def _learn(self, new: list[bytes]) -> None:
-        plain = [w for w in new if b"<|" not in w]
-        for w in new:
-            if b"<|" in w:
-                self.known[w] = self._ids(w.decode()).tobytes()
-        for low in range(0, len(plain), 20_000):
-            words = plain[low : low + 20_000]
-            ids = self._ids(f" {_SEPARATOR} ".join(w.decode() for w in words))
-            ends = np.concatenate([[-1], np.flatnonzero(ids == self.mark), [len(ids)]]) if len(words) else []
-            if len(ends) != len(words) + 1:
-                raise ValueError("words and ids do not line up")
-            size, raw = self.width.itemsize, ids.tobytes()
-            cuts = (ends * size).tolist()
-            for w, a, b in zip(words, cuts[:-1], cuts[1:]):
-                self.known[w] = raw[a + size : b]
+        plain, odd, pieces = [], [], {}
+        for raw in new:
+            word = raw.decode()
+            stem = word.rstrip(_TAIL)
+            tail = word[len(stem) :]
+            if stem.isascii():
+                stem = stem.lower()
+            if stem.isalpha() and stem.lower().isalpha():
+                plain.append((raw, stem, tail))
+                pieces[stem] = None
+                if tail:
+                    pieces[tail] = None
+            else:
+                odd.append((raw, word))
+        self._learn_pieces([x for x in pieces if x not in self.pieces])
+        known = self.pieces
+        for raw, stem, tail in plain:
+            self.words[raw] = known[stem] + known[tail] if tail else known[stem]
+        if odd:
+            self.words.update(zip((raw for raw, _ in odd), (x.tobytes() for x in self._ids([w for _, w in odd]))))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian ids of each text."""
         split = [t.split() for t in texts]
-        new = {w: None for words in split for w in words if w not in self.known}
+        if len(self.words) > CACHED_WORDS:  # forgotten before a batch, never inside it
+            self.words.clear()
+        if len(self.pieces) > CACHED_WORDS:
+            self.pieces.clear()
+        known = self.words
+        new = {w for words in split for w in words if w not in known}
         if new:
-            if len(self.known) > CACHED_WORDS:  # forget before, so that every word of this batch is known after
-                self.known.clear()
-                new = {w: None for words in split for w in words}
             self._learn(list(new))
-        known = self.known
         return [b"".join([known[w] for w in words]) for words in split]
 
 
@@ -101,7 +123,7 @@ def pieces_of(column: pa.Array, size: int = 1 << 20):
 
 
 def encode_table(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int, range_bytes: int) -> DataFrame:
-    """Saved table (range, id, text order key, n, ids) of every document, ids little-endian with the end id appended."""
+    """(range, id, text order key, n, ids) of every document, ids little-endian with the end id appended."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     ident = F.col(f"`{id_col}`").cast("bigint")
     total = docs.agg(F.sum(F.octet_length(text)).alias("b")).first()["b"] or 0
@@ -134,7 +156,7 @@ def encode_table(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, en
                 )
 
     rows = docs.select(ident.alias("id"), text.alias("text"))
-    return saved(rows.mapInArrow(encode, "range int, id bigint, tie bigint, n bigint, ids binary"), "encoded")
+    return rows.mapInArrow(encode, "range int, id bigint, tie bigint, n bigint, ids binary")
 
 
 def write_token_files(
@@ -154,8 +176,6 @@ def write_token_files(
     """
     encoded = encode_table(docs, id_col, text_col, tokenizer, end_id, range_bytes)
     width = encoder(tokenizer).width
-    totals = encoded.groupBy("range").agg(F.sum("n").alias("n")).orderBy("range").collect()  # one row per range
-    base = dict(zip([r["range"] for r in totals], np.cumsum([0, *[r["n"] for r in totals]]).tolist()))
 
     def one_file(key, table):
         number = key[0].as_py()
@@ -171,7 +191,7 @@ def write_token_files(
         lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), c.combine_chunks().cast(pa.int64())) for c in (table["id"], table["n"])]
         columns = [pa.FixedSizeListArray.from_arrays(pa.array(a), length) for a in (flat, mask)] + lists
         whole = pa.Table.from_arrays(columns, names=["ids", "mask", "doc_ids", "doc_lengths"])
-        whole = whole.replace_schema_metadata({"first": str(base[number]), "ids": str(len(ids))})
+        whole = whole.replace_schema_metadata({"range": str(number), "ids": str(len(ids))})
         sink = pa.BufferOutputStream()
         with pa.ipc.new_file(sink, whole.schema) as writer:
             writer.write_table(whole, max_chunksize=batch)
@@ -202,6 +222,15 @@ def sequence(reader: pa.ipc.RecordBatchFileReader, k: int, batch: int = 256) ->
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Per document, from the files alone: id, start in the whole stream, n_tokens, ids_crc32 and ids."""
+    content = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder).select("content")
+
+    def counts(batches):
+        for batch in batches:
+            meta = [open_file(x.as_buffer()).schema.metadata for x in batch.column("content")]
+            yield pa.RecordBatch.from_arrays([pa.array([int(m[k]) for m in meta], pa.int64()) for k in (b"range", b"ids")], names=["range", "n"])
+
+    sizes = sorted(tuple(r) for r in content.mapInArrow(counts, "range bigint, n bigint").collect())  # a row per file
+    first = dict(zip([r for r, _ in sizes], np.cumsum([0, *[n for _, n in sizes]]).tolist()))
 
     def rows(batches):
         for batch in batches:
@@ -223,7 +252,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [
                             names[part],
-                            pa.array(int(meta[b"first"]) + (ends - n)[part], pa.int64()),
+                            pa.array(first[int(meta[b"range"])] + (ends - n)[part], pa.int64()),
                             pa.array(n[part], pa.int64()),
                             pa.array([zlib.crc32(x) for x in ids], pa.int64()),
                             pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())),
@@ -231,5 +260,4 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                         names=["id", "start", "n_tokens", "ids_crc32", "ids"],
                     )
 
-    content = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder).select("content")
     return content.mapInArrow(rows, "id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids array<int>")
