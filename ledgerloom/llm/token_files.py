@@ -17,6 +17,7 @@ null id comes first; an empty table gives no file and an empty result; other col
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from functools import lru_cache
 
@@ -47,15 +48,27 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         self.width = np.dtype("<u2") if max(vocabulary.values()) < 1 << 16 else np.dtype("<u4")
+        self.code = "H" if self.width.itemsize == 2 else "I"
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.width) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_pieces(self, new: list[str]) -> None:
+    def _learn_pieces(self, wanted: set[str]) -> None:
+        kept = wanted.intersection(self.older)
+        self.pieces.update((piece, self.older[piece]) for piece in kept)
+        tokenize, code = self.tokenizer.model.tokenize, struct.Struct
+        new = []
+        for piece in wanted.difference(kept):
+            if piece.isascii() and piece.isalpha():  # nothing to normalise or split: straight to the merges
+                ids = [t.id for t in tokenize(piece)]
+                self.pieces[piece] = code(f"<{len(ids)}{self.code}").pack(*ids)
+            else:
+                new.append(piece)
         for low in range(0, len(new), 10_000):
             part = new[low : low + 10_000]
             ids = self._ids([" ".join(part)])[0]
@@ -68,39 +81,31 @@ class WordEncoder:
                 self.pieces[piece] = raw[a:b]
 
     def _learn(self, new: list[bytes]) -> None:
-        plain, odd, pieces = [], [], {}
-        for raw in new:
-            word = raw.decode()
-            stem = word.rstrip(_TAIL)
-            tail = word[len(stem) :]
-            if stem.isascii():
-                stem = stem.lower()
-            if stem.isalpha() and stem.lower().isalpha():
-                plain.append((raw, stem, tail))
-                pieces[stem] = None
-                if tail:
-                    pieces[tail] = None
-            else:
-                odd.append((raw, word))
-        self._learn_pieces([x for x in pieces if x not in self.pieces])
+        words = b" ".join(new).decode().split(" ")
+        stems = [w.rstrip(_TAIL) for w in words]
+        tails = [w[len(s) :] for w, s in zip(words, stems)]
+        stems = [s.lower() if s.isascii() else s for s in stems]
+        plain = [s.isalpha() and (s.isascii() or s.lower().isalpha()) for s in stems]
         known = self.pieces
-        for raw, stem, tail in plain:
-            self.words[raw] = known[stem] + known[tail] if tail else known[stem]
+        self._learn_pieces({s for s, p in zip(stems, plain) if p}.union(tails).difference(known, [""]))
+        known[""] = b""
+        self.words.update((w, known[s] + known[t]) for w, s, t, p in zip(new, stems, tails, plain) if p)
+        odd = [i for i, p in enumerate(plain) if not p]
         if odd:
-            self.words.update(zip((raw for raw, _ in odd), (x.tobytes() for x in self._ids([w for _, w in odd]))))
+            self.words.update(zip([new[i] for i in odd], [x.tobytes() for x in self._ids([words[i] for i in odd])]))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian ids of each text."""
         split = [t.split() for t in texts]
         if len(self.words) > CACHED_WORDS:  # forgotten before a batch, never inside it
             self.words.clear()
-        if len(self.pieces) > CACHED_WORDS:
-            self.pieces.clear()
-        known = self.words
-        new = {w for words in split for w in words if w not in known}
+        if len(self.pieces) > CACHED_WORDS // 2:  # frequent pieces come back from the older half
+            self.older, self.pieces = self.pieces, {}
+        new = set().union(*split).difference(self.words)
         if new:
             self._learn(list(new))
-        return [b"".join([known[w] for w in words]) for words in split]
+        known = self.words.__getitem__
+        return [b"".join(map(known, words)) for words in split]
 
 
 @lru_cache(maxsize=2)
