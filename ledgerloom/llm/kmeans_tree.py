@@ -7,9 +7,9 @@ queue of centres by distance, opening the nearest next, and visits leaves in tha
 `recall` of those neighbours lie in visited leaves. A query goes on beyond that number while its leaves hold too few
 vectors.
 
-Vectors and visiting queries meet by leaf. A leaf is cut into bins of about `bin_rows` vectors by a hash of the id, so a
-vector that a third of all rows repeat fills many bins; each bin returns the best `k` per query and the final order is
-taken over visited bins x k rows per query. Distances are Euclidean in double precision on the given components.
+Vectors and visiting queries meet in bins of about `bin_rows` vectors: small neighbouring leaves share a bin, and a leaf with
+more is cut into bins by a hash of the id, so a vector that a third of all rows repeat fills many. Each bin compares a query with
+the leaves it visits and returns the best `k`; the final order is taken over visited bins x k rows per query. Distances are Euclidean in double precision on the given components.
 
 Defined cases: vectors that are null, zero, or hold a null or non-finite component take no part, nor do those whose length
 is not the most frequent one, nor rows without an id; rows with one id are one candidate at its nearest vector, and as a
@@ -60,7 +60,7 @@ class Tree:
     leaves: int = field(default=0)
 
     @classmethod
-    def fit(cls, points: np.ndarray, branch: int = 8, leaf_size: int = 48, seed: int = 5) -> Tree:
+    def fit(cls, points: np.ndarray, branch: int = 8, leaf_size: int = 256, seed: int = 5) -> Tree:
         rng = np.random.default_rng(seed)
         centres, children, leaf, stack = [points.mean(0)], [np.zeros(0, int)], [-1], [(0, points)]
         while stack:
@@ -193,7 +193,7 @@ def search(
     vector_col: str = "embedding",
     every: int = 100,
     k: int = 10,
-    recall: float = 0.97,
+    recall: float = 0.96,
     sample: int = 20_000,
     probes: int = 200,
     bin_rows: int = 4096,
@@ -215,40 +215,51 @@ def search(
 
     placed = rows.mapInArrow(place, "leaf bigint, id bigint, v array<double>")
     filled = {r["leaf"]: r["n"] for r in placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per leaf
-    bins = np.array([-(-filled.get(i, 0) // bin_rows) for i in range(tree.leaves)])
-    count = F.element_at(F.lit(np.maximum(bins, 1).tolist()), (F.col("leaf") + 1).cast("int"))
-    placed = placed.withColumn("bin", F.pmod(F.xxhash64("id"), count.cast("bigint")))
+    shard, bins, held_rows, number = np.zeros(tree.leaves, np.int64), [1], 0, 0
+    for leaf in range(tree.leaves):
+        n = filled.get(leaf, 0)
+        if held_rows and held_rows + n > bin_rows:
+            held_rows, number = 0, number + 1
+            bins.append(1)
+        shard[leaf], held_rows = number, held_rows + n
+        bins[number] = max(1, -(-held_rows // bin_rows))
+    of_leaf = lambda table: F.element_at(F.lit([int(x) for x in table]), (F.col("leaf") + 1).cast("int")).cast("bigint")
+    placed = placed.withColumn("bin", F.pmod(F.xxhash64("id"), of_leaf([bins[s] for s in shard]))).withColumn("shard", of_leaf(shard))
 
     def route(batches):
         for batch in batches:
-            points, out = matrix(batch.column("v")), ([], [], [])
+            points, out = matrix(batch.column("v")), ([], [], [], [])
             for i in range(batch.num_rows):
-                held = 0
+                held, seen = 0, {}
                 for turn, leaf in enumerate(tree.visits(points[i])):
                     if turn >= visits and held > 2 * k:
                         break
                     held += filled.get(leaf, 0)
-                    for b in range(bins[leaf]):
-                        for part, x in zip(out, (i, leaf, b)):
+                    seen.setdefault(int(shard[leaf]), []).append(leaf)
+                for s, leaves in seen.items():
+                    for b in range(bins[s]):
+                        for part, x in zip(out, (i, s, b, leaves)):
                             part.append(x)
             at = pa.array(out[0], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), batch.column("id").take(at), batch.column("v").take(at)],
-                names=["leaf", "bin", "id", "v"],
+                [pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.list_(pa.int64()))]
+                + [batch.column("id").take(at), batch.column("v").take(at)],
+                names=["shard", "bin", "leaves", "id", "v"],
             )
 
-    routed = queries.select("id", "v").mapInArrow(route, "leaf bigint, bin bigint, id bigint, v array<double>")
+    routed = queries.select("id", "v").mapInArrow(route, "shard bigint, bin bigint, leaves array<bigint>, id bigint, v array<double>")
 
     def compare(key, points, asked):
         out = ([], [], [])
         if points.num_rows and asked.num_rows:
-            ids, table = points["id"].to_numpy(), matrix(points["v"].combine_chunks())
-            for q, vector in zip(asked["id"].to_pylist(), matrix(asked["v"].combine_chunks())):
-                near, far = best(vector, q, ids, table, k)
+            ids, table, leaf = points["id"].to_numpy(), matrix(points["v"].combine_chunks()), points["leaf"].to_numpy()
+            for q, leaves, vector in zip(asked["id"].to_pylist(), asked["leaves"].to_pylist(), matrix(asked["v"].combine_chunks())):
+                rows_in = np.flatnonzero(np.isin(leaf, leaves))
+                near, far = best(vector, q, ids[rows_in], table[rows_in], k)
                 for part, x in zip(out, (np.full(len(near), q), near, far)):
                     part.append(x)
         flat = [np.concatenate(x) if x else np.zeros(0) for x in out]
         return pa.table({"query_id": pa.array(flat[0].astype(np.int64)), "vec_id": pa.array(flat[1].astype(np.int64)), "score": pa.array(flat[2].astype(np.float64))})
 
-    grouped = placed.groupBy("leaf", "bin").cogroup(routed.groupBy("leaf", "bin"))
+    grouped = placed.groupBy("shard", "bin").cogroup(routed.groupBy("shard", "bin"))
     return ranked(grouped.applyInArrow(compare, "query_id bigint, vec_id bigint, score double"), k)
