@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -14,6 +15,7 @@ from ledgerloom.operators.profile import group_medians, modes
 
 # Tried cluster counts, iterations, first seed.
 KS, MAX_ITER, SEED = (3, 4, 5), 500, 42
+PARALLEL = 4  # starts fitted at the same time
 
 
 def sweep(df: DataFrame, features: Sequence[str], keep: Sequence[str], ks: Sequence[int] = KS, starts: int = 20):
@@ -25,8 +27,10 @@ def sweep(df: DataFrame, features: Sequence[str], keep: Sequence[str], ks: Seque
     scaled = assembled(Scaler.fit(df, features).apply(df), features, keep).persist()
     judge = ClusteringEvaluator(distanceMeasure="squaredEuclidean")
     found, out = [], scaled
+    fit = lambda k, i: KMeans(k=k, maxIter=MAX_ITER, seed=SEED + i).fit(scaled)
     for k in ks:
-        fits = [KMeans(k=k, maxIter=MAX_ITER, seed=SEED + i).fit(scaled) for i in range(starts)]
+        with ThreadPool(PARALLEL) as pool:  # the starts are independent jobs
+            fits = pool.starmap(fit, [(k, i) for i in range(starts)])
         best = min(fits, key=lambda m: m.summary.trainingCost)
         found.append((k, float(judge.evaluate(best.transform(scaled))), float(best.summary.trainingCost)))
         out = best.setPredictionCol(f"cluster_k{k}").transform(out)

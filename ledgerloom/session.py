@@ -46,11 +46,12 @@ def local_session(cores: int | str = 8, app: str = "ledgerloom", memory: str = "
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder name for intermediate files: inside `spark.checkpoint.dir`, the folder every executor sees.
+    """A new folder name for intermediate files: inside `spark.checkpoint.dir`, the folder every executor sees, or
+    inside the folder given to `setCheckpointDir`.
 
     A temporary folder is used only by a single-machine session that names none.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return f"{shared.rstrip('/')}/run-{uuid.uuid4().hex}"
     if not spark.sparkContext.master.startswith("local"):
