@@ -276,3 +276,18 @@ def test_cross_validation_and_grid(spark):
     assert out.filter("fold = 'mean'").first()["auc"] == pytest.approx(1.0)
     grid = cl.grid_search(df, ["a"], "y", "id", depths=(2,), trees=(3, 5), k=2)
     assert grid.count() == 2 and grid.first()["mean_auc"] > 0.9
+
+
+def test_a_specification_keeps_rows_that_only_others_lack(spark):
+    """A model without spend is fitted on months without spend, too."""
+    data = [(float(i), float(i % 7), None if i % 2 else float(i % 5), 2.0 * i - (i % 7) + 0.1 * (i % 3)) for i in range(40)]
+    df = spark.createDataFrame(data, "a double, b double, spend double, y double")
+    fit = {r["spec"]: r for r in reg.fit_ols(df, "y", {"plain": ["a", "b"], "spend": ["a", "b", "spend"]}).collect()}
+    assert (fit["plain"]["n"], fit["spend"]["n"]) == (40, 20)
+    for spec, names in (("plain", (0, 1)), ("spend", (0, 1, 2))):
+        rows = [r for r in data if all(r[i] is not None for i in names)]
+        x = np.column_stack([np.ones(len(rows)), *[[r[i] for r in rows] for i in names]])
+        beta = np.linalg.lstsq(x, np.array([r[3] for r in rows]), rcond=None)[0]
+        assert fit[spec]["intercept"] == pytest.approx(beta[0]) and [c["coef"] for c in fit[spec]["coefs"]] == pytest.approx(list(beta[1:]))
+    scored = reg.score_ols(df, reg.fit_ols(df, "y", {"plain": ["a", "b"], "spend": ["a", "b", "spend"]}), ["a", "b", "spend"])
+    assert {r["spec"]: r["n"] for r in scored.dropna(subset=["predicted"]).groupBy("spec").agg(F.count("*").alias("n")).collect()} == {"plain": 40, "spend": 20}
