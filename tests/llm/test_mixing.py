@@ -68,3 +68,44 @@ def test_rows_come_in_the_order_of_the_mix(spark):
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string, source string")
     assert mixing.slotted(docs).collect() == [] and mixing.mix(docs).collect() == []
+
+
+WEIGHTS = [
+    {f"s{i}": 0.9 if i == 0 else 0.1 / 99 for i in range(100)},
+    {f"s{i}": 0.5 if i == 0 else 0.025 for i in range(21)},
+    {"hot": 300**0.5, **{f"s{i}": 30**0.5 for i in range(20)}},
+    {f"web{i}.example": 1.0 + i % 7 for i in range(1500)},
+]
+
+
+@pytest.mark.parametrize("weights", WEIGHTS)
+def test_raw_weights_hold_over_many_slots(weights):
+    """Deviation from the weights as given, with none rounded to a period."""
+    total, got, slots = sum(weights.values()), Counter(), 8000
+    dealing = mixing.deal(weights, dict.fromkeys(weights, slots))
+    for t, (source, i, slot, on_target) in zip(range(1, slots + 1), dealing):
+        assert on_target and slot == t - 1 and i == got[source]
+        got[source] += 1
+        if t % 7 == 0 or t > slots - 50:
+            assert all(abs(got[s] - t * w / total) < 1 + 1e-9 for s, w in weights.items())
+    assert got.total() == slots
+
+
+def test_every_block_is_dealt_after_a_source_ends():
+    blocks = {"a": 3, "b": 200, "c": 1}
+    out = list(mixing.deal({"a": 0.3, "b": 1e-9, "c": 0.7}, blocks))
+    assert Counter(s for s, *_ in out) == blocks and len({slot for _, _, slot, _ in out}) == len(out)
+    assert [i for s, i, *_ in out if s == "b"] == list(range(200))
+    ends = sum(on for *_, on in out)
+    assert all((slot < ends) == on for _, _, slot, on in out) and ends not in {slot for _, _, slot, _ in out}
+
+
+def test_slots_of_the_table_follow_the_raw_weights(spark):
+    docs = spark.range(8000).selectExpr("id AS doc_id", "if(id % 2 = 0, 'big', concat('s', id % 40)) AS source")
+    weights = {"big": 0.5, **{f"s{i}": 0.025 for i in range(1, 40, 2)}}
+    order = sorted((r.slot, r.source) for r in mixing.slotted(docs, weights, block=1).collect() if r.on_target)
+    seen = Counter()
+    for t, (_, source) in enumerate(order, 1):
+        seen[source] += 1
+        assert abs(seen["big"] - t / 2) < 1
+    assert len(order) >= 3000
