@@ -127,7 +127,8 @@ def slotted(
     """Per row: id, source, block, slot, place (in its block), on_target, and the row's place in its file.
 
     `weights` are the target shares (any scale). Without them the share of a source is its number of documents to the power
-    `flatten`. `period` rounds the shares to whole slots of a period. The order of the mix is (slot, place).
+    `flatten`. `period` rounds the shares to whole slots of a period, which
+    has to be as long as there are sources. The order of the mix is (slot, place).
     """
     docs = file_scan(docs)
     source = F.coalesce(F.col(f"`{source_col}`").cast("string"), F.lit(""))

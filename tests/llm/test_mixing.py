@@ -109,3 +109,11 @@ def test_slots_of_the_table_follow_the_raw_weights(spark):
         seen[source] += 1
         assert abs(seen["big"] - t / 2) < 1
     assert len(order) >= 3000
+
+
+def test_more_sources_than_a_thousand(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat('web', id % 1500) AS source")
+    got = mixing.slotted(docs, block=1).collect()
+    assert sorted(r.id for r in got) == list(range(3000)) and len({r.slot for r in got}) == 3000
+    firsts = sorted((r.slot, r.source) for r in got)[:1500]
+    assert len({s for _, s in firsts}) == 1500
