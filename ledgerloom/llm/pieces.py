@@ -1,10 +1,15 @@
-"""SentencePiece encoding and decoding: an Aho-Corasick automaton over the pieces drives a single-pass Viterbi.
+"""SentencePiece encoding and decoding, driven by an Aho-Corasick automaton over the pieces.
 
-The automaton reports, for every position, all pieces that end there (its output links, longest first); each relaxes the
-best score at that position from the one where it starts, so one pass over the text leaves the best segmentation. A
-character that no piece covers costs more than any piece and becomes its UTF-8 bytes (or the unknown id). The result is what
-SentencePiece's unigram encoder gives for the pieces and scores of the file; a file made for merges (BPE) is read the same
-way, by its scores.
+The automaton reports, for every position, all pieces that end there (its output links, longest first). What becomes of
+them depends on how the file was trained, as in the library:
+
+- unigram: each piece relaxes the best score at its end from the one at its start, so one pass over the text leaves the best
+  segmentation (Viterbi). A character that no piece covers costs more than any piece.
+- merges (BPE): scores are merge ranks, and the sum of ranks means nothing. Starting from characters, the neighbours whose
+  union is the piece of the best rank, the leftmost of equals, are joined until no neighbours make a piece.
+
+A character that is left and is no piece becomes its UTF-8 bytes (or the unknown id). The functions on tables give the ids of
+the library's `encode` for files of both kinds (a file with user-defined or unused pieces is an error); `coder` reads any file by its scores.
 
 No piece has a space mark behind another character, so a text falls apart in front of its spaces without loss; the ids of
 such a part are remembered, and only new parts go through the automaton. If a file has pieces across spaces, the whole
@@ -17,6 +22,7 @@ result; other columns of the table are kept in front.
 
 from __future__ import annotations
 
+import heapq
 import re
 from functools import lru_cache
 
@@ -90,11 +96,15 @@ class PieceCoder:
             if number >= 0:
                 out.append(number)
             else:
-                codes = [self.bytes[b] for b in text[at - 1].encode("utf-8", "surrogatepass")]
-                out += [self.unknown] if None in codes else codes[::-1]
+                out += self.codes(text[at - 1])[::-1]
             at -= length
         return out[::-1]
 
+    def codes(self, character: str) -> list[int]:
+        """Ids of a character that no piece covers."""
+        codes = [self.bytes[b] for b in character.encode("utf-8", "surrogatepass")]
+        return [self.unknown] if None in codes else codes
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers."""
         if not text:
@@ -120,21 +130,73 @@ class PieceCoder:
         return text.removeprefix(" ")
 
 
+class MergeCoder(PieceCoder):
+    """Of the pieces that the automaton finds in a text, those that the merge order of the file leaves."""
+
+    def segment(self, text: str) -> list[int]:
+        n = len(text)
+        found = {}
+        for end, (score, length, number) in self.automaton.iter(text):
+            found[end + 1 - length, end + 1] = (-score, number)
+        ends, starts = list(range(1, n + 1)), list(range(-1, n))  # end of the symbol at i; start of the symbol that ends at i
+        heap = [(found[i, i + 2][0], i, i + 1, i + 2) for i in range(n - 1) if (i, i + 2) in found]
+        heapq.heapify(heap)
+        while heap:
+            _, start, middle, end = heapq.heappop(heap)
+            if ends[start] != middle or ends[middle] != end:
+                continue  # one of the two has been joined to another
+            ends[start], ends[middle], starts[end] = end, 0, start
+            if start:
+                before = starts[start]
+                if (before, end) in found:
+                    heapq.heappush(heap, (found[before, end][0], before, start, end))
+            if end < n:
+                after = ends[end]
+                if (start, after) in found:
+                    heapq.heappush(heap, (found[start, after][0], start, end, after))
+        out, at = [], 0
+        while at < n:
+            end = ends[at]
+            if (at, end) in found:
+                out.append(found[at, end][1])
+            else:
+                out += self.codes(text[at])
+            at = end
+        return out
+
+
 @lru_cache(maxsize=2)
 def coder(path: str) -> PieceCoder:
+    """Coder of a file by its scores, whatever it was trained for."""
     return PieceCoder(path)
 
 
+@lru_cache(maxsize=2)
+def library_coder(path: str) -> PieceCoder:
+    """Coder of a file by the method it was trained for."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(path, "rb") as file:
+        model.ParseFromString(file.read())
+    kinds = {model.trainer_spec.UNIGRAM: coder, model.trainer_spec.BPE: MergeCoder}
+    if model.trainer_spec.model_type not in kinds:
+        raise ValueError("the file is neither a unigram nor a merge model")
+    if any(p.type in (p.USER_DEFINED, p.UNUSED) for p in model.pieces):
+        raise ValueError("files with user-defined or unused pieces are not supported")
+    return kinds[model.trainer_spec.model_type](path)
+
+
 def encode(docs: DataFrame, model: str, text_col: str = "text", name: str = "piece_ids") -> DataFrame:
     """`docs` with an array of piece ids after its own columns. `model` is the path of a SentencePiece file."""
-    return _mapped(docs, text_col, name, "array<int>", lambda texts: _encoded(coder(model), texts))
+    return _mapped(docs, text_col, name, "array<int>", lambda texts: _encoded(library_coder(model), texts))
 
 
 def round_trip(docs: DataFrame, model: str, text_col: str = "text", name: str = "piece_ids", check: str = "round_trip") -> DataFrame:
     """As `encode`, with a flag whether decoding the ids gives the text back, too."""
 
     def both(texts):
-        code = coder(model)
+        code = library_coder(model)
         ids = _encoded(code, texts)
         ends = ids.offsets.to_numpy()
         flat = ids.values.to_numpy()
@@ -154,7 +216,7 @@ def decode(coded: DataFrame, model: str, ids_col: str = "piece_ids", name: str =
     names = coded.columns
 
     def texts(batches):
-        code = coder(model)
+        code = library_coder(model)
         for batch in batches:
             column = [code.decode(x.as_py() or []) for x in batch.column(names.index(ids_col))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(column, pa.string())], names=[f"c{i}" for i in range(len(names) + 1)])

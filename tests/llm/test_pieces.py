@@ -88,3 +88,22 @@ def test_round_trip_and_columns(spark):
 def test_empty(spark):
     frame = spark.createDataFrame([], "doc_id bigint, text string")
     assert pieces.round_trip(frame, PATH).collect() == [] and pieces.decode(pieces.encode(frame, PATH), PATH, name="t").collect() == []
+
+
+def test_ids_are_those_of_the_library_for_a_merge_model(spark):
+    """The unchanged file, so the library's own merge order."""
+    whole = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    texts = ODD + [t for _, t in NASTY if t] + ["aaaaaaaaaa" * 9, " " * 70 + "x" + " " * 33, "x  y   z    \t     a", "Überraschung " * 20]
+    texts += [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60).collect()]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in pieces.encode(frame, PATH).collect():
+        assert r.piece_ids == whole.encode(r.text), r.text[:80]
+
+
+def test_ids_are_those_of_the_library_for_a_unigram_model(spark, library, tmp_path):
+    path = str(tmp_path / "unigram.model")
+    with open(path, "wb") as file:
+        file.write(library.serialized_model_proto())
+    texts = [t for t in ODD if pieces.MARK not in t and "\x00" not in t]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert all(r.piece_ids == library.encode(r.text) for r in pieces.encode(frame, path).collect())
