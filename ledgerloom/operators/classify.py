@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.ranks import hash_rank
 
-# Split, folds, L2 strength, forest size, iterations.
-TEST_SHARE, FOLDS, C, TREES, MAX_ITER, SEED = 0.20, 5, 1.0, 200, 1000, 42
+# Split, folds, L2 strength, forest size, iterations, forest depth (30 is Spark's maximum).
+TEST_SHARE, FOLDS, C, TREES, MAX_ITER, SEED, DEPTH = 0.20, 5, 1.0, 200, 1000, 42, 30
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test: float = TEST_SHARE, seed: int = SEED) -> DataFrame:
@@ -96,10 +96,13 @@ def balanced_weight(df: DataFrame, label: str, name: str = "weight") -> DataFram
     return df.withColumn(name, weights[F.col(label)])
 
 
-def forest(train: DataFrame, features: Sequence[str], label: str, trees: int = TREES, seed: int = SEED, balanced: bool = True):
+def forest(
+    train: DataFrame, features: Sequence[str], label: str, trees: int = TREES, seed: int = SEED, balanced: bool = True, depth: int = DEPTH
+):
+    """Random forest; `depth` limits its trees. The reference has no limit, so the default is the largest that Spark takes."""
     rows = balanced_weight(train, label) if balanced else train.withColumn("weight", F.lit(1.0))
     rows = assembled(rows, features, [label, "weight"])
-    return RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=trees, seed=seed).fit(rows)
+    return RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed).fit(rows)
 
 
 def tree(train: DataFrame, features: Sequence[str], label: str, depth: int = 5, seed: int = SEED):

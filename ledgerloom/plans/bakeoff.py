@@ -14,7 +14,8 @@ MODELS = ("logistic", "tree", "forest", "boosted")
 
 
 def fit_and_score(
-    train: DataFrame, test: DataFrame, features: Sequence[str], label: str, key: str, models: Sequence[str] = MODELS, trees: int = cl.TREES, rounds: int = 20
+    train: DataFrame, test: DataFrame, features: Sequence[str], label: str, key: str, models: Sequence[str] = MODELS, trees: int = cl.TREES, rounds: int = 20,
+    depth: int = cl.DEPTH,
 ) -> dict[str, DataFrame]:
     """Scored test rows (key, label, prediction, score) of every requested model."""
     keep = [key, label]
@@ -26,7 +27,7 @@ def fit_and_score(
         elif name == "tree":
             model = cl.tree(train, features, label)
         elif name == "forest":
-            model = cl.forest(train, features, label, trees)
+            model = cl.forest(train, features, label, trees, depth=depth)
         elif name == "boosted":
             model = cl.boosted(train, features, label, rounds)
         else:
@@ -36,17 +37,18 @@ def fit_and_score(
 
 
 def compare_classifiers(
-    rows: DataFrame, features: Sequence[str], label: str, key: str, models: Sequence[str] = MODELS, trees: int = cl.TREES, rounds: int = 20
+    rows: DataFrame, features: Sequence[str], label: str, key: str, models: Sequence[str] = MODELS, trees: int = cl.TREES, rounds: int = 20,
+    depth: int = cl.DEPTH,
 ) -> DataFrame:
     """One report row per model on the held-out fifth of every class, best F1 first."""
     split = cl.stratified_split(rows.select(key, label, *features), label, key).persist()
     scored = fit_and_score(
-        split.filter("NOT is_test"), split.filter("is_test"), features, label, key, models, trees, rounds
+        split.filter("NOT is_test"), split.filter("is_test"), features, label, key, models, trees, rounds, depth
     )
     return cl.model_comparison({n: cl.binary_report(s, label, score="score") for n, s in scored.items()})
 
 
-def classify_forms(forms: DataFrame, key: str = "filename", trees: int = cl.TREES) -> dict[str, DataFrame]:
+def classify_forms(forms: DataFrame, key: str = "filename", trees: int = cl.TREES, depth: int = cl.DEPTH) -> dict[str, DataFrame]:
     """KAC against KAM from the form fields.
 
     Medians are taken from the training rows. Returns the report of both models, the ten largest coefficients, the
@@ -59,7 +61,7 @@ def classify_forms(forms: DataFrame, key: str = "filename", trees: int = cl.TREE
     model, scaler = cl.logistic(train, features, "target")
     keep = [key, "target"]
     linear = cl.predict(model, test, features, keep, scaler)
-    trees_ = cl.predict(cl.forest(train, features, "target", trees), test, features, keep)
+    trees_ = cl.predict(cl.forest(train, features, "target", trees, depth=depth), test, features, keep)
     return {
         "report": cl.model_comparison(
             {n: cl.binary_report(s, "target", score="score") for n, s in (("logistic", linear), ("forest", trees_))}

@@ -291,3 +291,13 @@ def test_a_specification_keeps_rows_that_only_others_lack(spark):
         assert fit[spec]["intercept"] == pytest.approx(beta[0]) and [c["coef"] for c in fit[spec]["coefs"]] == pytest.approx(list(beta[1:]))
     scored = reg.score_ols(df, reg.fit_ols(df, "y", {"plain": ["a", "b"], "spend": ["a", "b", "spend"]}), ["a", "b", "spend"])
     assert {r["spec"]: r["n"] for r in scored.dropna(subset=["predicted"]).groupBy("spec").agg(F.count("*").alias("n")).collect()} == {"plain": 40, "spend": 20}
+
+
+def test_forest_grows_deeper_than_five(spark):
+    bits = [f"x{i}" for i in range(9)]
+    rows = spark.range(512).selectExpr(*[f"cast(shiftright(id, {i}) & 1 AS double) AS x{i}" for i in range(9)], "cast(pmod(xxhash64(id), 2) AS int) AS y")
+    rows = rows.selectExpr("*", "explode(sequence(1, 8)) AS copy").drop("copy")
+    deep, shallow = (cl.forest(rows, bits, "y", trees=8, balanced=False, **k) for k in ({}, {"depth": 5}))
+    assert max(t.depth for t in deep.trees) > 5 and max(t.depth for t in shallow.trees) == 5
+    right = lambda m: cl.predict(m, rows, bits, ["y"]).filter("y = prediction").count()
+    assert right(deep) > right(shallow)
