@@ -262,8 +262,11 @@ def near_duplicate_classes(
     functions: int = FUNCTIONS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """Per row: id, class_id (smallest id of its class), class_size (rows), links (of its text), kept, and its place.
+    """Per row: id, class_id (smallest id of its class), class_size (rows), verified_links (of its text), kept, and its place.
 
+    `verified_links` counts the pairs with this text that were aligned and linked: those with bucket leaders and those found by
+    rare runs. It is no degree: members of one class are not all compared, so in a large class it is far below the number of
+    near copies.
     `kept` marks one row of each class, the one with the smallest id.
     """
     docs = file_scan(docs)
@@ -287,14 +290,14 @@ def near_duplicate_classes(
     links = links.union(more)
     roots = components(links)
 
-    degree = links.select("a").union(links.select("b")).groupBy("a").agg(F.count(F.lit(1)).alias("links")).withColumnRenamed("a", "node")
+    degree = links.select("a").union(links.select("b")).groupBy("a").agg(F.count(F.lit(1)).alias("verified_links")).withColumnRenamed("a", "node")
     named = one.select("digest", "node").join(roots.withColumnRenamed("id", "node"), "node", "left").join(degree, "node", "left")
-    named = saved(named.select("digest", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links")), "classes")
+    named = saved(named.select("digest", F.coalesce("root", "node").alias("root"), F.coalesce("verified_links", F.lit(0)).alias("verified_links")), "classes")
     members = saved(signed.select("id", "_path", "_row", "digest").join(named, "digest"), "members")
     heads = saved(members.groupBy("root").agg(F.min(place).alias("head"), F.count(F.lit(1)).alias("class_size")), "heads")
     kept = (F.col("head._path") == F.col("_path")) & (F.col("head._row") == F.col("_row"))
     return members.join(heads, "root").select(
-        "id", F.col("head.id").alias("class_id"), "class_size", "links", kept.alias("kept"), "_path", "_row"
+        "id", F.col("head.id").alias("class_id"), "class_size", "verified_links", kept.alias("kept"), "_path", "_row"
     )
 
 

@@ -81,7 +81,7 @@ def token_ids(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_near_duplicates")
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     classes = order_minhash.near_duplicate_classes(table(spark, folder, "documents"))
-    return classes.select(F.col("id").alias("doc_id"), "class_id", "class_size", "links", "kept")
+    return classes.select(F.col("id").alias("doc_id"), "class_id", "class_size", "verified_links", "kept")
 
 
 @query("op3_toxicity")

@@ -123,3 +123,12 @@ def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 7), (200, 201), (202, 201), (5, 5)]
     got = {r.id: r.root for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert got == {**{i: 0 for i in [*range(41), 100]}, 200: 200, 201: 200, 202: 200}
+
+
+def test_verified_links_are_no_degree(spark):
+    """One verified link is enough for a class; the column does not claim to count all pairs."""
+    frame = spark.createDataFrame(list(enumerate(family(3, 60, 300, 0.004))), "doc_id bigint, text string")
+    got = om.near_duplicate_classes(frame)
+    assert got.columns == ["id", "class_id", "class_size", "verified_links", "kept", "_path", "_row"]
+    rows = got.collect()
+    assert {r.class_id for r in rows} == {0} and all(1 <= r.verified_links <= 60 for r in rows)
