@@ -8,6 +8,8 @@ different, and `back` undoes it with the key (a date without leading zeros may c
 
 Kinds: payment cards (Luhn), IBANs (modulo 97), IPv4 addresses, North American and international phone numbers with a plus
 sign, US social security numbers, calendar dates 1900 to 2099, mail addresses (letters and digits of the local part).
+A North American number is valid by its numbering rule only: area code and exchange begin with 2 to 9. Others stay in
+clear, like every value that is not valid: in the table sf0.1 33 of the 159 strings of the form +1 (ddd) ddd-dddd.
 
 Each row stands alone: no shuffle, no state. Defined cases: null and empty texts have no values (null stays null); repeated
 rows get the same result; an empty table gives an empty result; other columns are kept.
