@@ -20,7 +20,8 @@ ITEMS = "item_no string, description string, item_type string, uom string, perio
 PRODUCTS = {
     "products": """SELECT factory, product_1, product_1_description, sum(plan_value) AS plan_val, sum(actual_value) AS actual_val, sum(diff_value) AS diff_val, count(DISTINCT batch) AS batches,
   CASE WHEN sum(plan_value) <> 0 THEN sum(diff_value) / sum(plan_value) * 100 END AS variance_pct
-  FROM valued WHERE ingredient_type IN ('RM', 'SM') AND product_1 IS NOT NULL AND product_1 NOT LIKE '99%' GROUP BY 1, 2, 3""",
+  FROM valued WHERE ingredient_type IN ('RM', 'SM') AND product_1 NOT LIKE '99%'
+  AND factory IS NOT NULL AND product_1_description IS NOT NULL GROUP BY 1, 2, 3""",
     "material": "SELECT *, abs(variance_pct) AS abs_var_pct FROM products WHERE plan_val > 1000000 AND batches >= 3",
 }
 PRODUCT_COLS = f"factory, product_1, product_1_description, {r('plan_val', 'plan_val', 5)}, {r('actual_val', 'actual_val', 5)}, {r('diff_val', 'diff_val', 5)}, batches, {r('variance_pct', 'variance_pct', 5)}"
@@ -325,7 +326,7 @@ def _(t: Tables):
     f"""SELECT factory, product_1, {r('sum(part)', 'diff_val', 5)}, count(*) AS ingredients,
   CASE WHEN sum(part) >= 0 THEN arg_max(ingredient, part) ELSE arg_min(ingredient, part) END AS driver,
   {r('CASE WHEN sum(part) >= 0 THEN max(part) ELSE min(part) END', 'driver_val', 5)} FROM parts GROUP BY 1, 2""",
-    {"parts": "SELECT factory, product_1, ingredient, sum(diff_value) AS part FROM valued WHERE product_1 IS NOT NULL GROUP BY 1, 2, 3"},
+    {"parts": "SELECT factory, product_1, ingredient, sum(diff_value) AS part FROM valued WHERE product_1 IS NOT NULL AND factory IS NOT NULL GROUP BY 1, 2, 3"},
     digits=5,
 )
 def _(t: Tables):
