@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
+    bit_scatter,
     chunk_prints,
     exact_dedup,
     kmeans_tree,
@@ -195,3 +196,10 @@ def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_chunk_prints")
 def chunk_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return chunk_prints.compare_with_next(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("op11_whitening")
+def whitened_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    found = bit_scatter.whiten(table(spark, folder, "embeddings"))
+    deviation = F.expr("try_cast(deviation as bigint)").alias("deviation")
+    return found.select(F.col("id").alias("vec_id"), "component", "n", deviation, "whitened", "explained", "identity_error")
