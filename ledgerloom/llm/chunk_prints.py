@@ -229,7 +229,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
         yield from _sent(found(), FIELDS + EDGE_FIELDS)
 
-    done = saved(ranged.mapInArrow(scan, f"{RESULT}, {EDGE}"), "chunk-prints")
+    done = saved(ranged.mapInArrow(scan, f"{RESULT}, {EDGE}"), "chunk-prints", "zstd")
     # two rows per range of the table: the last of each is compared with the first of the next one that has rows
     edges = done.filter("part is not null")
     order = edges.filter("not is_last").select(

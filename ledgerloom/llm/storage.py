@@ -23,10 +23,10 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write `df` as Parquet in the shared folder and continue from the files; lost executors lose nothing of it."""
     path = f"{work_folder(df.sparkSession, name)}/table"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
