@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,63 +39,63 @@ def hash_rank(df: DataFrame, strata: Sequence[str], key: str, seed: int = 42, di
     return joined.select(*df.columns, "_rank", "_size")
 
 
-def quantiles(
-    df: DataFrame, groups: Sequence[str], value: str, probs: dict[str, float], cells: int = 256, levels: int = 2, salts: int = 64
+def ranged(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`df` written in ranges of `keys` and read back, with `_range`: whoever has a larger number has no smaller keys.
+
+    A range is a file of one task; inside it rows are in no order.
+    """
+    files = cut_lineage(df.repartitionByRange(*[F.asc(k) for k in keys]))
+    name = files.metadataColumn("_metadata")["file_name"]
+    number = lambda pattern: F.regexp_extract(name, pattern, 1).cast("bigint")  # noqa: E731  task, file of the task
+    return files.withColumn("_range", number(r"^part-(\d+)-") * 1_000_000 + number(r"-c(\d+)\."))
+
+
+def level_quantiles(
+    df: DataFrame, levels: Mapping[str, Sequence[str]], value: str, probs: Mapping[str, float], level: str = "level"
 ) -> DataFrame:
-    """Exact interpolated quantiles per group: one row per group, one column per entry of `probs` (name -> p).
+    """Exact interpolated quantiles at several group levels (name -> group columns), all from one scan and one ordering.
 
-    NULLs are ignored. Equal values are counted first, so repeated values cost nothing. Then the wanted ranks are narrowed
-    down `levels` times: a quantile sketch cuts the distinct values of a group into `cells` cells of nearly equal numbers
-    (so outliers do not matter), the cells are counted, and only those that hold a wanted rank go on. After two levels
-    of 256 cells a cell holds about one of 65,536 distinct values of its group, and only these are ordered.
+    One row per level and group: `level`, every group column (NULL where the level does not use it), one column per entry of
+    `probs` (name -> p). NULL values and NULL keys are left out. Equal values are counted first, so a hot value costs
+    one row. The counted values are cut into ranges of (level, group, value) and written; a group of most rows covers many
+    ranges. Running sums of the row counts per (group, range) tell which ranges hold a wanted rank, and only those
+    are put in order.
     """
-    keys = list(groups) or ["_all"]
-    base = df if groups else df.withColumn("_all", F.lit(0))
-    base = base.dropna(subset=[*keys, value]).select(*keys, F.col(value).cast("double").alias("_v"))
-    rows = base.groupBy(*keys, "_v").agg(F.count("*").alias("_c")).withColumn("_path", F.lit(0).cast("bigint"))
-    position = {n: F.lit(p) * (F.col("_size") - 1) for n, p in probs.items()}
-    both_sides = F.array_distinct(F.array(*[f(x) for x in position.values() for f in (F.floor, F.ceil)]))
-    cuts = F.array(*[F.lit(i / cells) for i in range(1, cells)])
-    spread = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
-    at = [*keys, "_path"]
-    scope = None
-    for _ in range(levels):
-        # both are read several times below: each level starts from written rows, so plans stay small
-        rows, scope = cut_lineage(rows), scope and cut_lineage(scope)
-        sketch = rows.groupBy(*at).agg(
-            F.percentile_approx("_v", cuts, 20 * cells).alias("_cuts"), F.sum("_c").alias("_size")
-        )
-        if scope is None:
-            scope = sketch.select(*at, "_size", F.lit(0).cast("bigint").alias("_start")).withColumn("_ranks", both_sides)
-        # the cuts of a group are copied to every salt, so a hot group is spread over `salts` tasks
-        placed = (
-            rows.withColumn("_salt", F.pmod(F.hash("_v"), F.lit(salts)).cast("int"))
-            .join(sketch.select(*at, "_cuts", spread), [*at, "_salt"])
-            .select(*at, "_v", "_c", F.size(F.filter("_cuts", lambda cut: cut < F.col("_v"))).alias("_cell"))
-        )
-        counted = placed.groupBy(*at, "_cell").agg(F.sum("_c").alias("_n")).join(scope, at)
-        hit = (
-            counted.withColumn("_from", F.col("_start") + _before("_n", at, "_cell"))
-            .withColumn("_left", _inside(F.col("_ranks"), "_from", "_n"))
-            .filter(F.size("_left") > 0)
-            .withColumn("_next", F.col("_path") * cells + F.col("_cell"))
-        )
-        rows = placed.join(hit.select(*at, "_cell", "_next"), [*at, "_cell"]).select(*keys, "_v", "_c", F.col("_next").alias("_path"))
-        scope = hit.select(
-            *keys, F.col("_next").alias("_path"), "_size", F.col("_from").alias("_start"), F.col("_left").alias("_ranks")
-        )
-
-    # The values of the remaining cells, in order; each wanted rank falls on one of them.
-    rows = rows.join(scope, at).withColumn("_from", F.col("_start") + _before("_c", at, "_v"))
+    columns = list(dict.fromkeys(c for group in levels.values() for c in group))
+    used = df.select(*columns, F.col(value).cast("double").alias("_v")).filter("_v is not null")
+    entries = []
+    for name, group in levels.items():
+        cells = [(F.col(c) if c in group else F.lit(None).cast(used.schema[c].dataType)).alias(c) for c in columns]
+        known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in group], F.lit(True))
+        entries.append(F.when(known, F.struct(F.lit(name).alias("_level"), *cells)))
+    keys = ["_level", *columns]
+    counted = used.select(F.inline(F.array_compact(F.array(*entries))), "_v").groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
+    rows = ranged(counted, [*keys, "_v"])
+
+    size = F.sum("_n").over(Window.partitionBy(*keys))
+    counts = rows.groupBy(*keys, "_range").agg(F.sum("_c").alias("_n"))
+    counts = counts.withColumns({"_size": size, "_from": _before("_n", keys, "_range")})
+    place = {n: F.lit(p) * (F.col("_size") - 1) for n, p in probs.items()}
+    wanted = F.array_distinct(F.array(*[f(x) for x in place.values() for f in (F.floor, F.ceil)]))
+    hit = counts.withColumn("_ranks", _inside(wanted, "_from", "_n")).filter(F.size("_ranks") > 0)
+    hit = hit.select(*[F.col(c).alias(f"_h{c}") for c in [*keys, "_range"]], "_size", "_from", "_ranks")
+    rows = rows.join(hit, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_h{c}")) for c in [*keys, "_range"]]))
+
+    rows = rows.withColumn("_from", F.col("_from") + _before("_c", [*keys, "_range"], "_v"))
     rows = rows.select(*keys, "_size", "_v", F.explode(_inside(F.col("_ranks"), "_from", "_c")).alias("_rank"))
     found = rows.groupBy(*keys).agg(
         F.max("_size").alias("_size"), F.map_from_entries(F.collect_set(F.struct("_rank", "_v"))).alias("_at")
     )
-    cols = []
-    for name, x in position.items():
+    out = []
+    for name, x in place.items():
         low, high = F.element_at("_at", F.floor(x)), F.element_at("_at", F.ceil(x))
-        cols.append((low + (high - low) * (x - F.floor(x))).alias(name))
-    return found.select(*(keys if groups else []), *cols)
+        out.append((low + (high - low) * (x - F.floor(x))).alias(name))
+    return found.select(F.col("_level").alias(level), *columns, *out)
+
+
+def quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Mapping[str, float]) -> DataFrame:
+    """Exact interpolated quantiles per group: one row per group, one column per entry of `probs`; see `level_quantiles`."""
+    return level_quantiles(df, {"": groups}, value, probs, "_level").drop("_level")
 
 
 def _before(count: str, keys: Sequence[str], order: str) -> Column:

@@ -9,7 +9,7 @@ from ledgerloom.functions import text as txt
 from ledgerloom.operators import classify as cl
 from ledgerloom.operators import cluster as km
 from ledgerloom.operators import profile as pf
-from ledgerloom.operators.ranks import quantiles
+from ledgerloom.operators.ranks import level_quantiles
 from ledgerloom.operators.series import standardise
 from ledgerloom.plans import bakeoff
 from ledgerloom.plans import customers as cu
@@ -56,8 +56,17 @@ def _(t: Tables):
     def never():
         raise AssertionError("the saved result was not used")
 
-    sinks.reuse_or_build(t.spark, path, lambda: forms(t))
-    return pf.frequencies(sinks.reuse_or_build(t.spark, path, never), "label")
+    inputs, parameters = [f"{t.folder}/customer.parquet", f"{t.folder}/orders.parquet"], {"fields": list(fm.NUMERIC)}
+    sinks.reuse_or_build(t.spark, path, lambda: forms(t), inputs, parameters)
+    return pf.frequencies(sinks.reuse_or_build(t.spark, path, never, inputs, parameters), "label")
+
+
+@query("src06_rebuilt_when_stale", "SELECT label, count(*) AS n FROM form_fields WHERE label IS NOT NULL GROUP BY 1")
+def _(t: Tables):
+    path, inputs = f"{scratch(t.spark)}/forms", [f"{t.folder}/customer.parquet", f"{t.folder}/orders.parquet"]
+    sinks.reuse_or_build(t.spark, path, lambda: forms(t), inputs, {"labelled": False})
+    kept = sinks.reuse_or_build(t.spark, path, lambda: forms(t).filter("label IS NOT NULL"), inputs, {"labelled": True})
+    return pf.frequencies(kept, "label")
 
 
 @query("snk02_review_extract", "SELECT filename, f1_number, effective_date, loai_hinh_code, '' AS ma_lh_input, '' AS label_input FROM form_fields WHERE label IS NULL")
@@ -200,8 +209,8 @@ def _(t: Tables):
 )
 def _(t: Tables):
     rows = t("lineitem")
-    per = quantiles(rows, ["l_returnflag"], "l_extendedprice", {"median_price": 0.5}).withColumnRenamed("l_returnflag", "level")
-    return quantiles(rows, [], "l_extendedprice", {"median_price": 0.5}).select(F.lit("all").alias("level"), "median_price").unionByName(per)
+    found = level_quantiles(rows, {"all": [], "flag": ["l_returnflag"]}, "l_extendedprice", {"median_price": 0.5})
+    return found.select(F.coalesce("l_returnflag", "level").alias("level"), "median_price")
 
 
 @query("ag16_group_means", "SELECT claim_status, verified_status, count(*) AS n, " + ", ".join(r(f"avg({c})", f"avg_{c}") for c in POST_MEASURES) + " FROM video_post GROUP BY 1, 2")

@@ -12,7 +12,7 @@ from ledgerloom.operators import profile as pf
 from ledgerloom.operators import regression as reg
 from ledgerloom.operators import relational as rel
 from ledgerloom.operators import series as ser
-from ledgerloom.operators.ranks import hash_rank, quantiles
+from ledgerloom.operators.ranks import hash_rank, level_quantiles, quantiles, ranged
 from tests.conftest import values
 
 
@@ -25,29 +25,56 @@ def skewed(spark):
     return spark.createDataFrame(data, "g string, v double"), data
 
 
-@pytest.mark.parametrize("cells,levels", [(4, 1), (256, 2)])
-def test_quantiles_are_exact(skewed, cells, levels):
+def test_quantiles_are_exact(skewed):
     df, data = skewed
     probs = {"q1": 0.25, "med": 0.5, "p99": 0.99, "low": 0.0, "high": 1.0}
-    got = {r["g"]: r for r in quantiles(df, ["g"], "v", probs, cells=cells, levels=levels).collect()}
+    got = {r["g"]: r for r in quantiles(df, ["g"], "v", probs).collect()}
     for g in ("hot", "cold", "lone", "same"):
         vals = [v for k, v in data if k == g and v is not None]
         for name, p in probs.items():
             assert got[g][name] == pytest.approx(np.quantile(vals, p), rel=1e-12), (g, name)
     assert "none" not in got
-    whole = quantiles(df, [], "v", {"med": 0.5}, cells=cells, levels=levels).first()["med"]
+    whole = quantiles(df, [], "v", {"med": 0.5}).first()["med"]
     assert whole == pytest.approx(np.median([v for _, v in data if v is not None]), rel=1e-12)
 
 
-def test_outliers_do_not_fill_a_cell(spark):
-    """Two far values leave the cells even."""
+@pytest.fixture
+def many_ranges(spark):
+    """Shuffles keep all their partitions, so a small table has many ranges."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 23)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_quantiles_over_many_ranges(spark, skewed, many_ranges):
+    """A hot value, outliers and a group that covers most ranges; the ranges of the distinct values are even."""
+    test_quantiles_are_exact(skewed)
     df = spark.range(40_000).select((F.col("id") % 39_989 / 7.0).alias("v")).union(spark.createDataFrame([(1e15,), (1e10,)], "v double"))
-    got = quantiles(df, [], "v", {"med": 0.5, "p90": 0.9}, cells=16, levels=2).first()
-    values_ = [i % 39_989 / 7.0 for i in range(40_000)] + [1e15, 1e10]
-    assert (got["med"], got["p90"]) == (pytest.approx(np.quantile(values_, 0.5)), pytest.approx(np.quantile(values_, 0.9)))
-    cuts = df.select("v").distinct().agg(F.percentile_approx("v", F.array(*[F.lit(i / 16) for i in range(1, 16)]), 320).alias("c")).first()["c"]
-    cell = np.searchsorted(cuts, sorted(set(values_)), side="left")
-    assert np.bincount(cell).max() <= 1.3 * 39_991 / 16
+    df = df.union(spark.range(20_000).select(F.lit(-3.0)))
+    got = quantiles(df, [], "v", {"med": 0.5, "p90": 0.9, "p10": 0.1}).first()
+    values_ = [i % 39_989 / 7.0 for i in range(40_000)] + [1e15, 1e10] + [-3.0] * 20_000
+    assert tuple(got) == tuple(pytest.approx(np.quantile(values_, p)) for p in (0.5, 0.9, 0.1))
+    sizes = [r["n"] for r in ranged(df.distinct(), ["v"]).groupBy("_range").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 23 and max(sizes) < 2 * 39_992 / 23
+
+
+def test_ranges_ascend(spark, many_ranges):
+    found = ranged(spark.range(5000).select((F.col("id") * 7919 % 5003).alias("v")), ["v"])
+    bounds = sorted((r[0], r[1], r[2]) for r in found.groupBy("_range").agg(F.min("v"), F.max("v")).collect())
+    assert len(bounds) == 23 and all(a[2] < b[1] for a, b in zip(bounds, bounds[1:]))
+
+
+def test_levels_share_one_pass(rows):
+    df = rows("a string, b int, v double", ("x", 1, 1.0), ("x", 2, 2.0), ("y", 1, 6.0), (None, 1, 10.0), ("y", None, 8.0), ("x", 1, None))
+    found = level_quantiles(df, {"all": [], "a": ["a"], "ab": ["a", "b"]}, "v", {"med": 0.5})
+    assert values(found) == values(rows(
+        "level string, a string, b int, med double",
+        ("all", None, None, 6.0), ("a", "x", None, 1.5), ("a", "y", None, 7.0), ("ab", "x", 1, 1.0), ("ab", "x", 2, 2.0), ("ab", "y", 1, 6.0),
+    ))
+    assert quantiles(df.filter("false"), ["a"], "v", {"med": 0.5}).collect() == []
 
 
 def test_hash_rank_is_a_permutation_per_stratum(spark):
