@@ -87,6 +87,7 @@ def written_down_snapshot(
         F.col("code_cross").alias("_rate_key"), "mo", F.col("rate_provisioning_stage_2_3").alias("_rate")
     )
     return rows.join(priced, ["_rate_key", "mo"], "left").select(
+        KEY,
         "mo",
         "wdm",
         "text_contract_number",
@@ -110,11 +111,13 @@ def provision_movement(
     write_down_after: str = WRITE_DOWN_AFTER,
     segments=SEGMENTS,
     tie: str | None = None,
+    match: str = "text_contract_number",
 ) -> DataFrame:
     """Movement rows of all segments in one pass, with the segment as a column.
 
     Prior and current snapshot are matched by contract number in a full outer join; a contract number stands for
-    one contract, so method and excluded product are the same on both sides. Each side is the same plan with its
+    one contract, so method and excluded product are the same on both sides. With `match` = the contract key, tables
+    bucketed by that key (`sources.history`) are joined without a shuffle. Each side is the same plan with its
     own month, which reaches the overview scan (one partition per side); the contract, application, rate and
     write-off subplans are equal on both sides, so their exchanges are computed once and reused.
     """
@@ -122,15 +125,16 @@ def provision_movement(
     rows = written_down_snapshot(
         overview, contract, application, rates, writeoff, [prior, current], write_down_after, segments, tie
     )
-    shared = ("mo", "text_contract_number")
+    if match not in ("text_contract_number", KEY):
+        raise ValueError(f"match by text_contract_number or {KEY}")
 
     def snapshot(month: str, suffix: str) -> DataFrame:
         side = rows.filter(F.col("mo") == month)
-        return side.select(
-            "text_contract_number", *[F.col(c).alias(f"{c}_{suffix}") for c in rows.columns if c not in shared]
-        )
+        return side.select(match, *[F.col(c).alias(f"{c}_{suffix}") for c in rows.columns if c not in ("mo", match)])
 
-    both = snapshot(prior, "pre").join(snapshot(current, "cur"), "text_contract_number", "full_outer")
+    both = snapshot(prior, "pre").join(snapshot(current, "cur"), match, "full_outer")
+    if match == KEY:
+        both = both.withColumn("text_contract_number", F.coalesce("text_contract_number_pre", "text_contract_number_cur"))
     method = F.coalesce("code_accounting_method_pre", "code_accounting_method_cur")
     acquisition = F.coalesce("skp_class_status_acquisition_cur", "skp_class_status_acquisition_pre")
     name = segment_name(method, acquisition, segments)

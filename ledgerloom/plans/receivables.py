@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from ledgerloom.functions import credit
 from ledgerloom.functions.nulls import nz, presence_flag
 from ledgerloom.functions.periods import DOT, month_end, month_text, previous_month_end, shift_literal, trailing_months
 from ledgerloom.operators.relational import latest_per_key
-from ledgerloom.sources.sinks import update_matched
+from ledgerloom.sources.sinks import rewrite_months, update_matched
 
 KEY = "skp_credit_case"
 MEASURES = ("principal", "interest", "penalty")
@@ -158,6 +160,21 @@ def override_stages(
     return update_matched(out, written, [KEY], {"stage_split": F.lit("write down")}, this_month)
 
 
+def override_stored_stages(
+    overview: DataFrame,
+    industry_covid: DataFrame,
+    writeoff: DataFrame,
+    mo: str,
+    swap: Callable[[DataFrame], None],
+    write_down_from: str = WRITE_DOWN_FROM,
+    month: str = "mo",
+) -> list:
+    """`override_stages` on a stored overview: its month is rewritten, if it has rows, and no other; see `sinks.rewrite_months`."""
+    touched = overview.filter(F.col(month) == mo).limit(1)
+    change = lambda rows: override_stages(rows, industry_covid, writeoff, mo, write_down_from)
+    return rewrite_months(overview, touched, change, swap, month)
+
+
 def _report_rows(overview, contract, writeoff, application, months: Column, written: Column, tie):
     """Reported overview rows with write-down month and segment."""
     products = contract.filter(~F.col("code_product").isin(*credit.EXCLUDED_PRODUCTS)).select(KEY)

@@ -2,23 +2,91 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ledgerloom.session import cut_lineage
+
+
+MANIFEST = "_built_from.json"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of a location in any store that Spark reaches."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    files, target = _hadoop(spark, path)
+    return files.exists(target)
 
 
-def reuse_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Read a finished Parquet result (its success marker exists), else build, write and read it back."""
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def input_files(spark: SparkSession, paths: Sequence[str]) -> list[list]:
+    """[path, size, modification time] of every file below the given paths, sorted; a missing path is listed with size -1.
+
+    Markers and hidden files count, too. The listing is made by the driver, three calls a file.
+    """
+    out = []
+    for path in paths:
+        files, target = _hadoop(spark, path)
+        if not files.exists(target):
+            out.append([path, -1, -1])
+            continue
+        found = files.listFiles(target, True)
+        while found.hasNext():
+            status = found.next()
+            out.append([status.getPath().toString(), status.getLen(), status.getModificationTime()])
+    return sorted(out)
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    files, target = _hadoop(spark, path)
+    if not files.exists(target):
+        return None
+    stream = files.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    files, target = _hadoop(spark, path)
+    stream = files.create(target, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def reuse_or_build(
+    spark: SparkSession, path: str, build: Callable[[], DataFrame], inputs: Sequence[str] = (), parameters: Mapping | None = None
+) -> DataFrame:
+    """Read a finished Parquet result that was built from the same files and parameters, else build, write and read it back.
+
+    A manifest beside the result names the files of `inputs` with sizes and times, the parameters (anything that JSON
+    holds) and the schema of the result. It is taken before the build and written last: a build that fails leaves none, and
+    an input that changes during the build is noticed the next time. Reusing a result starts no job.
+    """
+    wanted = {"inputs": input_files(spark, inputs), "parameters": json.loads(json.dumps(parameters or {}, sort_keys=True))}
+    held = _read_text(spark, f"{path}/{MANIFEST}")
+    if held is not None:
+        found = json.loads(held)
+        if {k: found.get(k) for k in wanted} == wanted:
+            return spark.read.schema(StructType.fromJson(found["schema"])).parquet(path)
+        files, target = _hadoop(spark, f"{path}/{MANIFEST}")
+        files.delete(target, False)
+    built = build()
+    built.write.mode("overwrite").parquet(path)
+    schema = json.loads(built.schema.json())
+    _write_text(spark, f"{path}/{MANIFEST}", json.dumps(wanted | {"schema": schema}))
+    return spark.read.schema(built.schema).parquet(path)
 
 
 def write_delimited(df: DataFrame, path: str) -> None:
@@ -77,3 +145,40 @@ def update_matched(
         else:
             out.append(F.col(c))
     return joined.select(*out)
+
+
+def rewrite_months(
+    target: DataFrame, touched: DataFrame, change: Callable[[DataFrame], DataFrame], swap: Callable[[DataFrame], None], month: str = "mo"
+) -> list:
+    """Rewrite the months that occur in `touched`, and no others, of a stored table; returns them in order.
+
+    `target` reads the stored table, `change` maps the rows of these months to their new rows, `swap` replaces months of the store
+    (`replace_months`, `history.reload_months`). The new rows are written elsewhere first, so nothing is read from what is being
+    overwritten, and a failure before the swap leaves the old months.
+    """
+    months = sorted((r[0] for r in touched.select(month).distinct().collect()), key=lambda m: (m is not None, m))  # a row per month
+    if not months:
+        return []
+    chosen = reduce(lambda a, b: a | b, [F.col(month).eqNullSafe(F.lit(m)) for m in months])
+    swap(cut_lineage(change(target.filter(chosen)).select(*target.columns)))
+    return months
+
+
+def update_stored(
+    target: DataFrame,
+    matches: DataFrame,
+    keys: Sequence[str],
+    updates: Mapping[str, Column | str],
+    swap: Callable[[DataFrame], None],
+    when: Column | None = None,
+    month: str = "mo",
+) -> list:
+    """`update_matched` on a stored table: only months with a matching row are rewritten; returns them.
+
+    A semi-join that reads keys, month and the columns of `when` finds the months. A row that matches but would keep its
+    values still counts as matching.
+    """
+    hit = target.join(matches.select(*keys).distinct(), list(keys), "left_semi")
+    if when is not None:
+        hit = hit.filter(when)
+    return rewrite_months(target, hit, lambda rows: update_matched(rows, matches, keys, updates, when), swap, month)

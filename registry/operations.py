@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import nulls, periods
 from ledgerloom.operators import relational as rel
+from ledgerloom.operators import sketches
 from ledgerloom.plans import batch_variance as bv
 from ledgerloom.plans import ledger
-from ledgerloom.sources.tables import concat_frames, csv_folder, csv_table, tagged_union
+from ledgerloom.sources.sinks import replace_months
+from ledgerloom.sources.tables import concat_frames, csv_checked, csv_folder, csv_table, tagged_union
 from registry.analogues import Tables
 from registry.common import query, r, scratch
 
@@ -50,6 +52,30 @@ def _(t: Tables):
     return rows.groupBy("item_type").agg(F.count("*").alias("n"), F.sum(F.col("pmac").try_cast("decimal(12,2)")).alias("total"))
 
 
+CHECKED = "item_no string, item_type string, period_name string, pmac decimal(12,2)"
+
+
+@query(
+    "src02_rejected_lines",
+    f"""SELECT CASE WHEN bad THEN 'rejected' ELSE 'good' END AS side, count(*) AS n, {r('sum(CASE WHEN NOT bad THEN try_cast(pmac AS DECIMAL(12,2)) END)', 'total', 2)},
+  CAST(sum(CASE WHEN bad THEN length(item_no) + length(item_type) + length(period_name) + 3 + length(rest) END) AS BIGINT) AS chars FROM
+  (SELECT *, item_no::BIGINT % 10 IN (3, 7) OR pmac = 'n/a' AS bad, CASE item_no::BIGINT % 10 WHEN 3 THEN '' WHEN 7 THEN pmac || ',extra' ELSE pmac END AS rest FROM item_cost) GROUP BY 1""",
+    digits=2,
+)
+def _(t: Tables):
+    # lines of items ending in 3 lack the cost's comma, those ending in 7 have a field too many, some costs are unreadable
+    path, key = scratch(t.spark), F.col("item_no").cast("bigint") % 10
+    rest = F.when(key == 3, "").when(key == 7, F.concat(F.lit(","), "pmac", F.lit(",extra"))).otherwise(F.concat(F.lit(","), "pmac"))
+    lines = t.item_cost().select(F.concat(F.concat_ws(",", "item_no", "item_type", "period_name"), rest).alias("value"))
+    lines.write.text(path)
+    good, bad = csv_checked(t.spark, path, CHECKED, header=False)
+    side = lambda df, name, total, chars: df.agg(F.lit(name).alias("side"), F.count("*").alias("n"), total.alias("total"), chars.alias("chars"))
+    none = F.lit(None)
+    return side(good, "good", F.sum("pmac"), none.cast("bigint")).unionByName(
+        side(bad, "rejected", none.cast("decimal(22,2)"), F.sum(F.length("line") + (F.col("item_no").cast("bigint") % 10 == 3).cast("int")))
+    )
+
+
 @query(
     "src03_csv_folder_scan",
     "SELECT item_no, period_name, pmac FROM item_cost",
@@ -171,6 +197,18 @@ def _(t: Tables):
     return bv.product_variance(valued(t)).drop("abs_var_pct")
 
 
+@query("ag03_mergeable_distinct_count", "SELECT factory, count(DISTINCT batch) AS batches, true AS within_error FROM batch_usage GROUP BY 1")
+def _(t: Tables):
+    # sketches per (month, factory) stored by month; the count over all months unites them and is held against the exact one
+    path, rows = scratch(t.spark), t.batch_usage().withColumn("_period", F.date_format("start_date", "yyyy.MM"))
+    sketches.reload_sketches(rows, "_period", ["factory"], ["batch"], lambda new: replace_months(new, path, "_period"))
+    stored = t.spark.read.schema("factory string, sketch_batch binary, _period string").parquet(path)
+    merged = sketches.merged_counts(stored, ["factory"], ["batch"]).withColumnRenamed("factory", "f")
+    exact = rows.groupBy("factory").agg(F.count_distinct("batch").alias("batches"))
+    gap = F.abs(F.col("approx_batch") - F.col("batches")) <= F.greatest(F.col("batches") * sketches.error_bound(), F.lit(1))
+    return exact.join(merged, F.col("factory").eqNullSafe(F.col("f"))).select("factory", "batches", gap.alias("within_error"))
+
+
 @query("ag07_two_level_mean", f"SELECT ingredient AS item_no, {r('unit_cost', 'unit_cost')}, ingredient_type FROM cost_map")
 def _(t: Tables):
     return bv.item_attributes(bv.unit_cost(t.item_cost())).withColumnRenamed("ingredient", "item_no")
