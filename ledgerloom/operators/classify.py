@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.boosting import Boosted, boost
 from ledgerloom.operators.logit import fit_parts, held_out_scores
-from ledgerloom.operators.ranks import hash_rank, ranged
+from ledgerloom.operators.ranks import hash_rank, range_order, ranged
 from ledgerloom.session import cut_lineage
 
 # Split, folds, L2 strength, forest size, iterations, forest depth (30 is Spark's maximum).
@@ -196,7 +196,7 @@ def grouped_auc(scored: DataFrame, groups: Sequence[str], label: str, score: str
     )
     rows = ranged(counted, [*keys, "_s"])
     whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    earlier = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = whole.orderBy(range_order()).rowsBetween(Window.unboundedPreceding, -1)
     counts = rows.groupBy(*keys, "_range").agg(F.sum("_neg").alias("_n"))
     counts = counts.select(*[F.col(k).alias(f"_k{k}") for k in keys], F.col("_range").alias("_r"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{k}")) for k in keys], F.col("_range") == F.col("_r"))

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.session import cut_lineage
 
+RANGES = 3  # ranges per shuffle partition: the fewer rows a range has, the fewer are put in order
+
 
 def seeded_hash(key: Column, seed: int) -> Column:
     """Hex digest of seed and key: the same order on every run, cluster size and engine."""
@@ -40,14 +42,19 @@ def hash_rank(df: DataFrame, strata: Sequence[str], key: str, seed: int = 42, di
 
 
 def ranged(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """`df` written in ranges of `keys` and read back, with `_range`: whoever has a larger number has no smaller keys.
+    """`df` written in ranges of `keys` and read back, with `_range`, the file that a row is in; see `range_order`.
 
-    A range is a file of one task; inside it rows are in no order.
+    Inside a range rows are in no order.
     """
-    files = cut_lineage(df.repartitionByRange(*[F.asc(k) for k in keys]))
-    name = files.metadataColumn("_metadata")["file_name"]
-    number = lambda pattern: F.regexp_extract(name, pattern, 1).cast("bigint")  # noqa: E731  task, file of the task
-    return files.withColumn("_range", number(r"^part-(\d+)-") * 1_000_000 + number(r"-c(\d+)\."))
+    count = RANGES * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # stated, so that small ranges are not joined
+    files = cut_lineage(df.repartitionByRange(count, *[F.asc(k) for k in keys]))
+    return files.withColumn("_range", files.metadataColumn("_metadata")["file_name"])
+
+
+def range_order(name: str = "_range") -> Column:
+    """Orders ranges: whatever comes later has no smaller keys. File names carry the number of the task and of its file."""
+    number = lambda pattern: F.regexp_extract(name, pattern, 1).cast("int")
+    return F.struct(number(r"^part-(\d+)-"), number(r"-c(\d+)\."))
 
 
 def level_quantiles(
@@ -64,17 +71,18 @@ def level_quantiles(
     columns = list(dict.fromkeys(c for group in levels.values() for c in group))
     used = df.select(*columns, F.col(value).cast("double").alias("_v")).filter("_v is not null")
     entries = []
-    for name, group in levels.items():
+    for number, group in enumerate(levels.values()):
         cells = [(F.col(c) if c in group else F.lit(None).cast(used.schema[c].dataType)).alias(c) for c in columns]
         known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in group], F.lit(True))
-        entries.append(F.when(known, F.struct(F.lit(name).alias("_level"), *cells)))
+        entries.append(F.struct(F.lit(number).alias("_level"), *cells, known.alias("_known")))
     keys = ["_level", *columns]
-    counted = used.select(F.inline(F.array_compact(F.array(*entries))), "_v").groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
+    rows = used.select(F.inline(F.array(*entries)), "_v").filter("_known")
+    counted = rows.groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
     rows = ranged(counted, [*keys, "_v"])
 
     size = F.sum("_n").over(Window.partitionBy(*keys))
     counts = rows.groupBy(*keys, "_range").agg(F.sum("_c").alias("_n"))
-    counts = counts.withColumns({"_size": size, "_from": _before("_n", keys, "_range")})
+    counts = counts.withColumns({"_size": size, "_from": _before("_n", keys, range_order())})
     place = {n: F.lit(p) * (F.col("_size") - 1) for n, p in probs.items()}
     wanted = F.array_distinct(F.array(*[f(x) for x in place.values() for f in (F.floor, F.ceil)]))
     hit = counts.withColumn("_ranks", _inside(wanted, "_from", "_n")).filter(F.size("_ranks") > 0)
@@ -90,7 +98,7 @@ def level_quantiles(
     for name, x in place.items():
         low, high = F.element_at("_at", F.floor(x)), F.element_at("_at", F.ceil(x))
         out.append((low + (high - low) * (x - F.floor(x))).alias(name))
-    return found.select(F.col("_level").alias(level), *columns, *out)
+    return found.select(F.get(F.array(*[F.lit(n) for n in levels]), "_level").alias(level), *columns, *out)
 
 
 def quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Mapping[str, float]) -> DataFrame:
@@ -98,7 +106,7 @@ def quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Mapping[s
     return level_quantiles(df, {"": groups}, value, probs, "_level").drop("_level")
 
 
-def _before(count: str, keys: Sequence[str], order: str) -> Column:
+def _before(count: str, keys: Sequence[str], order: Column | str) -> Column:
     """Running count of the earlier rows."""
     window = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum(count).over(window), F.lit(0))
