@@ -6,13 +6,17 @@ them depends on how the file was trained, as in the library:
 - unigram: each piece relaxes the best score at its end from the one at its start, so one pass over the text leaves the best
   segmentation (Viterbi). A character that no piece covers costs more than any piece.
 - merges (BPE): scores are merge ranks, and the sum of ranks means nothing. Starting from characters, the neighbours whose
-  union is the piece of the best rank, the leftmost of equals, are joined until no neighbours make a piece.
+  union is the piece of the best rank, the leftmost of equals, are joined until no neighbours make a piece. What is left of
+  a prefix of the text has one last piece, and any two neighbours are what is left of the two alone. So the same pass
+  does it: a piece that ends here extends the prefix at its start if the two stay apart, and the first output link that does
+  settles the position. Whether two pieces stay apart is found by joining them once, and remembered.
 
 A character that is left and is no piece becomes its UTF-8 bytes (or the unknown id). The functions on tables give the ids of
 the library's `encode` for files of both kinds (a file with user-defined or unused pieces is an error); `coder` reads any file by its scores.
 
 No piece has a space mark behind another character, so a text falls apart in front of its spaces without loss; the ids of
-such a part are remembered, and only new parts go through the automaton. If a file has pieces across spaces, the whole
+such a part are remembered in two generations (the older one is dropped when the younger is full, and what is met again
+moves up), and only new parts go through the automaton. If a file has pieces across spaces, the whole
 text is one part.
 
 Defined cases: null and empty texts have no ids; the space mark itself (U+2581) in a text reads as a space, as in the
@@ -24,6 +28,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -34,7 +39,8 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.token_files import pieces_of
 
 MARK = "▁"
-REMEMBERED = 300_000
+REMEMBERED = 300_000  # parts of a generation
+PAIRS = 500_000  # pairs of a generation
 _PARTS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -49,6 +55,7 @@ class PieceCoder:
         self.automaton = ahocorasick.Automaton()
         size = model.vocab_size()
         self.unknown, self.bytes, self.raw, scores, self.single = model.unk_id(), [None] * 256, [b""] * size, [], set()
+        self.names = [""] * size
         whole = True
         for i in range(size):
             piece = model.id_to_piece(i)
@@ -59,6 +66,7 @@ class PieceCoder:
                 self.raw[i] = " ⁇ ".encode()
             elif not (model.is_control(i) or model.is_unused(i)):
                 self.raw[i] = piece.replace(MARK, " ").encode()
+                self.names[i] = piece
                 self.automaton.add_word(piece, (model.get_score(i), len(piece), i))
                 scores.append(model.get_score(i))
                 whole = whole and MARK not in piece.lstrip(MARK)
@@ -68,6 +76,7 @@ class PieceCoder:
         self.apart = whole
         self.penalty = min(scores, default=0.0) - 10.0  # of an uncovered character, below every piece
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def segment(self, text: str) -> list[int]:
         """Ids of the best segmentation of a marked text."""
@@ -109,19 +118,23 @@ class PieceCoder:
         """Ids as little-endian 32-bit integers."""
         if not text:
             return b""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        if len(self.known) > REMEMBERED:  # before a text, never inside it
+            self.older, self.known = self.known, {}
         marked = MARK + text.replace(" ", MARK)
         parts = _PARTS.findall(marked) if self.apart else [marked]
-        known, out = self.known, []
-        for part in parts:
-            ids = known.get(part)
+        known, older = self.known, self.older
+        new = set(parts).difference(known)
+        for part in new:
+            ids = older.get(part)
             if ids is None:
-                ids = np.array(self.segment(part), "<i4").tobytes()
-                if len(part) < 100:
-                    known[part] = ids
-            out.append(ids)
-        return b"".join(out)
+                found = self.segment(part)
+                ids = struct.pack(f"<{len(found)}i", *found)
+            known[part] = ids
+        out = b"".join(map(known.__getitem__, parts))
+        for part in new:
+            if len(part) >= 100:
+                del known[part]
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """The text of a list of ids; the first space belongs to the encoding."""
@@ -133,7 +146,68 @@ class PieceCoder:
 class MergeCoder(PieceCoder):
     """Of the pieces that the automaton finds in a text, those that the merge order of the file leaves."""
 
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.pairs: dict[int, bool] = {}
+        self.older_pairs: dict[int, bool] = {}
+        self.alone: dict[int, bool] = {}  # whether a piece is what is left of its own text
+        self.closed = all(self.single.issuperset(name) for name in self.names)
+
     def segment(self, text: str) -> list[int]:
+        """One pass over the automaton: each position keeps the one last piece of the prefix that ends there."""
+        if not self.single.issuperset(text):
+            return self._around_others(text) if self.closed else self.merged(text)
+        if len(self.pairs) > PAIRS:
+            self.older_pairs, self.pairs = self.pairs, {}
+        n, size, known = len(text), len(self.names), self.pairs.get
+        last, came = [-1] * (n + 1), [0] * (n + 1)
+        for end, (_, length, number) in self.automaton.iter(text):
+            end += 1
+            if last[end] >= 0:
+                continue
+            start = end - length
+            if start:
+                before = last[start]
+                if before < 0:
+                    continue
+                apart = known(before * size + number)
+                if apart is None:
+                    apart = self._stay_apart(before, number)
+            else:
+                apart = self.alone.get(number)
+                if apart is None:
+                    apart = self.alone[number] = self.merged(self.names[number]) == [number]
+            if apart:
+                last[end], came[end] = number, start
+        if last[n] < 0:
+            raise ValueError("no piece ends the text")  # every character is a piece, so one does
+        out, at = [], n
+        while at:
+            out.append(last[at])
+            at = came[at]
+        return out[::-1]
+
+    def _stay_apart(self, first: int, second: int) -> bool:
+        """Whether joining the text of two pieces leaves these two."""
+        key = first * len(self.names) + second
+        apart = self.older_pairs.get(key)
+        if apart is None:
+            apart = self.merged(self.names[first] + self.names[second]) == [first, second]
+        self.pairs[key] = apart
+        return apart
+
+    def _around_others(self, text: str) -> list[int]:
+        """Characters that no piece has stand alone, and nothing is joined across them."""
+        out, start = [], 0
+        for i, character in enumerate(text):
+            if character not in self.single:
+                out += self.segment(text[start:i]) if i > start else []
+                out += self.codes(character)
+                start = i + 1
+        return out + (self.segment(text[start:]) if start < len(text) else [])
+
+    def merged(self, text: str) -> list[int]:
+        """The merges themselves, one after the other."""
         n = len(text)
         found = {}
         for end, (score, length, number) in self.automaton.iter(text):

@@ -107,3 +107,35 @@ def test_ids_are_those_of_the_library_for_a_unigram_model(spark, library, tmp_pa
     texts = [t for t in ODD if pieces.MARK not in t and "\x00" not in t]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     assert all(r.piece_ids == library.encode(r.text) for r in pieces.encode(frame, path).collect())
+
+
+def test_the_pass_over_the_automaton_leaves_what_the_merges_leave():
+    """Every part of the given documents, and random strings of piece characters, with few remembered pairs, too."""
+    import random
+
+    import pyarrow.parquet as pq
+
+    code = pieces.MergeCoder(PATH)
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()
+    parts = {p for t in texts for p in pieces._PARTS.findall(pieces.MARK + (t or "").replace(" ", pieces.MARK))}
+    rng = random.Random(6)
+    letters = sorted(code.single)
+    for size in range(1, 30):
+        parts |= {"".join(rng.choices("aeinrst▁" if size % 2 else letters, k=size)) for _ in range(60)}
+    parts |= {"ab\x00cd", "\U000e0001", "x\U000e0001\U000e0001y", "".join(rng.choices("abab", k=3000))}
+    assert code.closed and len(parts) > 10_000
+    different = [p for p in parts if code.segment(p) != code.merged(p)]
+    assert not different, different[:5]
+    assert sum(code.pairs.values()) < len(code.pairs)  # some neighbours do not stay apart
+
+
+def test_remembered_parts_and_pairs_are_dropped_in_generations(monkeypatch):
+    code = pieces.MergeCoder(PATH)
+    texts = [f"word{i} shared{i % 3} x{i * 7919 % 1000}" for i in range(400)]
+    want = [code.encode(t) for t in texts]
+    monkeypatch.setattr(pieces, "REMEMBERED", 20)
+    monkeypatch.setattr(pieces, "PAIRS", 10)
+    small = pieces.MergeCoder(PATH)
+    assert [small.encode(t) for t in texts] == want
+    assert len(small.known) < 40 and len(small.older) < 40 and len(small.pairs) < 60
+    assert small.encode("y" * 500) == code.encode("y" * 500) and not any(len(p) >= 100 for p in small.known)
