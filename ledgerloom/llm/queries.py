@@ -88,7 +88,7 @@ def token_ids(spark: SparkSession, folder: str) -> DataFrame:
     files = work_folder(spark, "token-files")
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     token_files.write_token_files(table(spark, folder, "documents"), files, tokenizer)
-    read = token_files.read_token_files(spark, files)
+    read = token_files.read_token_files(spark, files, with_ids=False)
     return read.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 

@@ -52,18 +52,29 @@ class WordEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.words: dict[bytes, bytes] = {}
+        self.older_words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.width) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    @staticmethod
+    def _recalled(wanted: set, older: dict, young: dict) -> list:
+        """What of `wanted` is in neither half; what the older half has moves to the young one."""
+        new = []
+        for key in wanted:
+            ids = older.get(key)
+            if ids is None:
+                new.append(key)
+            else:
+                young[key] = ids
+        return new
+
     def _learn_pieces(self, wanted: set[str]) -> None:
-        kept = wanted.intersection(self.older)
-        self.pieces.update((piece, self.older[piece]) for piece in kept)
         tokenize, code = self.tokenizer.model.tokenize, struct.Struct
         new = []
-        for piece in wanted.difference(kept):
+        for piece in self._recalled(wanted, self.older, self.pieces):
             if piece.isascii() and piece.isalpha():  # nothing to normalise or split: straight to the merges
                 ids = [t.id for t in tokenize(piece)]
                 self.pieces[piece] = code(f"<{len(ids)}{self.code}").pack(*ids)
@@ -97,13 +108,15 @@ class WordEncoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian ids of each text."""
         split = [t.split() for t in texts]
-        if len(self.words) > CACHED_WORDS:  # forgotten before a batch, never inside it
-            self.words.clear()
+        if len(self.words) > CACHED_WORDS:  # dropped before a batch, never inside it; frequent words come back from the older half
+            self.older_words, self.words = self.words, {}
         if len(self.pieces) > CACHED_WORDS // 2:  # frequent pieces come back from the older half
             self.older, self.pieces = self.pieces, {}
         new = set().union(*split).difference(self.words)
         if new:
-            self._learn(list(new))
+            new = self._recalled(new, self.older_words, self.words)
+        if new:
+            self._learn(new)
         known = self.words.__getitem__
         return [b"".join(map(known, words)) for words in split]
 
@@ -225,8 +238,8 @@ def sequence(reader: pa.ipc.RecordBatchFileReader, k: int, batch: int = 256) ->
     return ids, rows.column("mask").values.slice(at * size, size).to_numpy(zero_copy_only=False)
 
 
-def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Per document, from the files alone: id, start in the whole stream, n_tokens, ids_crc32 and ids."""
+def read_token_files(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
+    """Per document, from the files alone: id, start in the whole stream, n_tokens, ids_crc32 and, if asked for, ids."""
     content = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder).select("content")
 
     def counts(batches):
@@ -260,9 +273,9 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                             pa.array(first[int(meta[b"range"])] + (ends - n)[part], pa.int64()),
                             pa.array(n[part], pa.int64()),
                             pa.array([zlib.crc32(x) for x in ids], pa.int64()),
-                            pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())),
+                            *([pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32()))] if with_ids else []),
                         ],
-                        names=["id", "start", "n_tokens", "ids_crc32", "ids"],
+                        names=["id", "start", "n_tokens", "ids_crc32", "ids"][: 4 + with_ids],
                     )
 
-    return content.mapInArrow(rows, "id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids array<int>")
+    return content.mapInArrow(rows, "id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids)
