@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import classify as cl
 from ledgerloom.plans import forms as fm
+from ledgerloom.session import cut_lineage
 
 MODELS = ("logistic", "tree", "forest", "boosted")
 
@@ -41,7 +42,7 @@ def compare_classifiers(
     depth: int = cl.DEPTH,
 ) -> DataFrame:
     """One report row per model on the held-out fifth of every class, best F1 first."""
-    split = cl.stratified_split(rows.select(key, label, *features), label, key).persist()
+    split = cut_lineage(cl.stratified_split(rows.select(key, label, *features), label, key))
     scored = fit_and_score(
         split.filter("NOT is_test"), split.filter("is_test"), features, label, key, models, trees, rounds, depth
     )
@@ -56,7 +57,7 @@ def classify_forms(forms: DataFrame, key: str = "filename", trees: int = cl.TREE
     """
     labelled = cl.stratified_split(fm.labelled(forms), "label", key)
     frame, features = fm.feature_frame(labelled, labelled.filter("NOT is_test"), key, ["is_test"])
-    frame = frame.persist()
+    frame = cut_lineage(frame)
     train, test = frame.filter("NOT is_test"), frame.filter("is_test")
     model, scaler = cl.logistic(train, features, "target")
     keep = [key, "target"]

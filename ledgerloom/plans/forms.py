@@ -11,21 +11,25 @@ from ledgerloom.functions import text as txt
 from ledgerloom.functions.nulls import strip_thousands, tolerant
 from ledgerloom.operators.profile import fill_medians
 
-# Patterns of the form fields. (?U) gives \d, \s and \w their Unicode meaning, (?s) lets a dot match
-# a line end, (?m) anchors at every line, (?iu) ignores case beyond ASCII.
-CHANNEL = r"(?U)Mã LH[:\s]*([A-Z]{2}\d{2})"
-CLIENT_TYPE = r"(?U)Mã LH[:\s]*[A-Z]{2}\d{2}\s*[-–]\s*([A-Z]{4})"
+# Patterns of the form fields. (?U) gives \d, \s and \w their Unicode meaning, (?m) anchors at every line,
+# (?iu) ignores case beyond ASCII. A run of characters that cannot end in the middle is taken whole (`++`, begun at its first
+# character), so no text makes a pattern try it again from each of its characters.
+CODE, SHIP, PERIOD, DATED = "Mã LH", "Số lượng Ship-to", "Thời hạn", "Ngày hiệu lực"
+CHANNEL = rf"(?U){CODE}[:\s]*([A-Z]{{2}}\d{{2}})"
+CLIENT_TYPE = rf"(?U){CODE}[:\s]*[A-Z]{{2}}\d{{2}}\s*[-–]\s*([A-Z]{{4}})"
 CLIENT_TYPE_FALLBACK = r"(?U)KA0[01]\s*[-–]\s*([A-Z]{4,6})"
-SHIP_TO = r"(?U)Số lượng Ship-to[:\s]*(\d+)"
-TERM = r"(?U)Thời hạn[:\s:]*(\d+)\s*tháng"
+SHIP_TO = rf"(?U){SHIP}[:\s]*(\d+)"
+TERM = rf"(?U){PERIOD}[:\s:]*(\d+)\s*tháng"
 RENEWAL = r"(?iuU)Tự gia hạn[:\s]*(CÓ|KHÔNG)"
-TARGETS = r"(?U)([\d,]+)\s+([\d,]+)\s+[\d.]+%"
-SUPPORT = r"(?sU)Tổng tỷ lệ hỗ trợ.*?([\d.]+)%"
-HISTORY = r"(?sU)DS lịch sử 12 tháng.*?([\d,]+)"
-CATEGORY = r"(?mU)^\s+([A-Z])\s+"
-FREQUENCY = r"(?U)(\d+)\s*lần/tháng"
-NUMBER = r"(?U)Số[:\s]*([\w/]+GV-KD-02-F1[\w/]+)"
-EFFECTIVE = r"(?U)Ngày hiệu lực[:\s]*([\d/]+)"
+TARGETS = r"(?U)(?<![\d,])([\d,]++)\s++([\d,]++)\s++[\d.]++%"
+SUPPORT, SUPPORT_SHARE = "Tổng tỷ lệ hỗ trợ", r"(?U)(?<![\d.])([\d.]++)%"
+HISTORY, HISTORY_SALES = "DS lịch sử 12 tháng", r"(?U)([\d,]+)"
+CATEGORY = r"(?mU)^\s++([A-Z])\s++"
+PER_MONTH = "lần/tháng"
+FREQUENCY = rf"(?U)(?<!\d)(\d++)\s*+{PER_MONTH}"
+FORM = "GV-KD-02-F1"
+NUMBER = rf"(?U)Số[:\s]*([\w/]+{FORM}[\w/]+)"
+EFFECTIVE = rf"(?U){DATED}[:\s]*([\d/]+)"
 
 # Product keywords, coverage cascade, channel labels, client groups.
 PRODUCTS = (
@@ -55,12 +59,13 @@ def account_label(code: Column) -> Column:
 
 
 def client_type(text: Column) -> Column:
-    return F.coalesce(txt.first_group(text, CLIENT_TYPE), txt.first_group(text, CLIENT_TYPE_FALLBACK))
+    return F.coalesce(txt.marked_group(text, CODE, CLIENT_TYPE), txt.gated_group(text, "KA0", CLIENT_TYPE_FALLBACK))
 
 
 def revenue_targets(text: Column) -> tuple[Column, Column]:
     """Year and month target of the first 'year month percent' line; both NULL when either is unreadable."""
-    year, month = (strip_thousands(c, "bigint") for c in txt.first_pair(text, TARGETS))
+    line = F.when(F.contains(text, F.lit("%")), F.regexp_extract(text, TARGETS, 0))
+    year, month = (strip_thousands(c, "bigint") for c in txt.first_pair(line, TARGETS))
     both = year.isNotNull() & month.isNotNull()
     return F.when(both, year), F.when(both, month)
 
@@ -68,29 +73,29 @@ def revenue_targets(text: Column) -> tuple[Column, Column]:
 def extract_fields(docs: DataFrame, text: str = "text", name: str = "filename") -> DataFrame:
     """Eighteen columns per form: one projection of built-in expressions, no shuffle."""
     body = F.col(text)
-    code = txt.first_group(body, CHANNEL)
+    code = txt.marked_group(body, CODE, CHANNEL)
     year, month = revenue_targets(body)
     products = txt.keywords_in(body, PRODUCTS)
-    number = lambda pattern: tolerant(txt.first_group(body, pattern), "int")
+    number = lambda found: tolerant(found, "int")
     return docs.select(
         F.col(name).alias("filename"),
         code.alias("ma_lh"),
         account_label(code).alias("label"),
         client_type(body).alias("loai_hinh_code"),
-        number(SHIP_TO).alias("num_ship_to"),
-        number(TERM).alias("contract_months"),
+        number(txt.marked_group(body, SHIP, SHIP_TO)).alias("num_ship_to"),
+        number(txt.marked_group(body, PERIOD, TERM)).alias("contract_months"),
         F.upper(txt.first_group(body, RENEWAL)).alias("auto_renew"),
         year.alias("revenue_target_year"),
         month.alias("revenue_target_month"),
-        tolerant(txt.first_group(body, SUPPORT), "double").alias("total_support_pct"),
-        strip_thousands(txt.first_group(body, HISTORY), "bigint").alias("hist_sales_12m"),
+        tolerant(txt.group_behind(body, SUPPORT, SUPPORT_SHARE), "double").alias("total_support_pct"),
+        strip_thousands(txt.group_behind(body, HISTORY, HISTORY_SALES), "bigint").alias("hist_sales_12m"),
         txt.distinct_matches(body, CATEGORY).alias("num_categories"),
         F.when(F.size(products) > 0, F.array_join(products, "|")).alias("product_groups"),
         F.size(products).alias("num_product_groups"),
         txt.first_label(body, COVERAGE, COVERAGE_DEFAULT).alias("geo_coverage"),
-        number(FREQUENCY).alias("order_freq_month"),
-        txt.first_group(body, NUMBER).alias("f1_number"),
-        txt.first_group(body, EFFECTIVE).alias("effective_date"),
+        number(txt.gated_group(body, PER_MONTH, FREQUENCY)).alias("order_freq_month"),
+        txt.gated_group(body, FORM, NUMBER).alias("f1_number"),
+        txt.marked_group(body, DATED, EFFECTIVE).alias("effective_date"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import credit
 from ledgerloom.functions.nulls import nz
-from ledgerloom.plans.receivables import KEY, latest_application
+from ledgerloom.plans.receivables import KEY, latest_application, write_down_month
 
 
 @dataclass(frozen=True)
@@ -61,7 +61,8 @@ def written_down_snapshot(
     """Contract x month rows of the given months: write-down month, bucket, exposure and provision.
 
     The overview is read by its month partitions. The rate table is joined on a precomputed key, left to the
-    optimizer to broadcast when it is small. Excluded products stay only in the methods whose segment keeps them.
+    optimizer to broadcast when it is small; it has one rate per key and month, a second one would double the rows. A
+    contract counts once, by its first write-down. Excluded products stay only in the methods whose segment keeps them.
     """
     keeping = [s.method for s in segments if s.keeps_excluded_products]
     allowed = ~F.col("code_product").isin(*credit.EXCLUDED_PRODUCTS)
@@ -71,7 +72,7 @@ def written_down_snapshot(
         KEY, "text_contract_number", "code_accounting_method", "type_product"
     )
     amount = credit.exposure(F.col("amt_principal_outstanding"), F.col("amt_interest"), F.col("amt_penalty"))
-    written = writeoff.filter(F.col("mo") > write_down_after).select(KEY, F.col("mo").alias("wdm"))
+    written = write_down_month(writeoff.filter(F.col("mo") > write_down_after))
     rows = (
         overview.filter(F.col("mo").isin(*months))
         .select(KEY, "mo", "code_cross", amount.alias("balance"))

@@ -175,13 +175,18 @@ def override_stored_stages(
     return rewrite_months(overview, touched, change, swap, month)
 
 
+def write_down_month(writeoff: DataFrame) -> DataFrame:
+    """(contract, wdm): the first month in which a contract was written down, so that a second one multiplies no balance."""
+    return writeoff.groupBy(KEY).agg(F.min("mo").alias("wdm"))
+
+
 def _report_rows(overview, contract, writeoff, application, months: Column, written: Column, tie):
     """Reported overview rows with write-down month and segment."""
     products = contract.filter(~F.col("code_product").isin(*credit.EXCLUDED_PRODUCTS)).select(KEY)
     return (
         overview.filter((F.col("code_status") == "Y") & months)
         .join(products, KEY)
-        .join(writeoff.filter(written).select(KEY, F.col("mo").alias("wdm")), KEY, "left")
+        .join(write_down_month(writeoff.filter(written)), KEY, "left")
         .join(latest_application(application, tie), KEY, "left")
         .withColumn("segment", credit.acquisition_segment(F.col("skp_class_status_acquisition")))
     )

@@ -14,6 +14,7 @@ from ledgerloom.operators.series import standardise
 from ledgerloom.plans import bakeoff
 from ledgerloom.plans import customers as cu
 from ledgerloom.plans import forms as fm
+from ledgerloom.session import cut_lineage
 from ledgerloom.sources import sinks
 from ledgerloom.sources.tables import split_empty_documents
 from registry.analogues import Tables
@@ -303,7 +304,7 @@ def _(t: Tables):
 
 def staff_split(t: Tables):
     keep = t.employee().select("emp_id", "left_company", *[F.col(c).cast("double").alias(c) for c in STAFF])
-    rows = cl.stratified_split(keep, "left_company", "emp_id").persist()
+    rows = cut_lineage(cl.stratified_split(keep, "left_company", "emp_id"))
     return rows.filter("NOT is_test"), rows.filter("is_test")
 
 

@@ -114,6 +114,21 @@ def test_provision_movement(rows):
     assert sum(r["sum_variance"] for r in summary) == sum(r["provision_cur"] - r["provision_pre"] for r in got.values())
 
 
+def test_repeated_write_downs_multiply_nothing(rows):
+    """A contract written down twice counts once, by its first month."""
+    overview, contract, application, rates, writeoff = provision_book(rows)
+    later = writeoff.filter("mo <= '2021.11'").withColumn("mo", F.lit("2021.12"))
+    twice = writeoff.union(later.select(writeoff.columns))
+    want = provision.provision_movement(overview, contract, application, rates, writeoff, "2021.11", "2021.12")
+    got = provision.provision_movement(overview, contract, application, rates, twice, "2021.11", "2021.12")
+    assert later.count() > 0 and values(got.select(want.columns)) == values(want)
+    for report in (receivables.receivable_trend, receivables.receivables_by_stage):
+        args = (contract, writeoff, application, "2021.12")
+        plain = [r.asDict() for r in report(overview, *args, ordered=False).collect()]
+        double = [r.asDict() for r in report(overview, contract, twice, application, "2021.12", ordered=False).collect()]
+        assert sorted(map(str, plain)) == sorted(map(str, double))
+
+
 def test_trend_totals_and_order(rows):
     overview, contract, application, _, writeoff = provision_book(rows)
     out = receivables.receivable_trend(overview, contract, writeoff, application, "2021.12")
