@@ -18,34 +18,14 @@ def first_pair(text: Column, pattern: str) -> tuple[Column, Column]:
     return first_group(text, pattern, 1), first_group(text, pattern, 2)
 
 
-SPAN = 256  # characters looked at behind a marker before the rest of the text is
+def group_behind(text: Column, marker: str, pattern: str, group: int = 1) -> Column:
+    """Group of the first match anywhere behind the first marker, however far; NULL without a marker.
 
-
-def marked_group(text: Column, marker: str, pattern: str, group: int = 1, span: int = SPAN) -> Column:
-    """`first_group` of a pattern that begins with a literal marker, without a pass of the pattern over the text.
-
-    The marker is found by a byte search: a text without it is done. Otherwise the pattern is tried on a short span from the
-    marker on. A match that ends inside the span is the first one of the text; only if there is none, or if
-    it reaches the end of the span, the whole text is searched.
+    Whatever a later marker has behind it is behind the first one, too, so no other is tried. The pattern says where a match may
+    begin, so that it takes a run of characters only as a whole.
     """
-    at = F.instr(text, marker)
-    near = F.substring(text, at, F.lit(span))
-    found = F.length(F.regexp_extract(near, f"^(?:{pattern})", 0))
-    settled = (found > 0) & ((found < F.length(near)) | (F.length(near) < span))
-    here = first_group(near, f"^(?:{pattern})", group)
-    return F.when(at == 0, None).when(settled, here).otherwise(first_group(text, pattern, group))
-
-
-def group_behind(text: Column, marker: str, pattern: str, group: int = 1, span: int = SPAN) -> Column:
-    """Group of the first match anywhere behind the first marker, however far; the pattern says where a match may begin, so
-    that it fits a run of characters only as a whole. A short span is tried first, as in `marked_group`."""
-    at = F.instr(text, marker)
-    start = at + F.lit(len(marker))
-    near = F.substring(text, start, F.lit(span))
-    before = F.regexp_extract(near, f"(?s)^.*?(?:{pattern})", 0)
-    settled = (before != "") & ((F.length(before) < F.length(near)) | (F.length(near) < span))
-    rest = F.substring(text, start, F.length(text))
-    return F.when(at == 0, None).when(settled, first_group(near, pattern, group)).otherwise(first_group(rest, pattern, group))
+    behind = F.substring(text, F.instr(text, marker) + F.lit(len(marker)), F.length(text))
+    return F.when(F.contains(text, F.lit(marker)), first_group(behind, pattern, group))
 
 
 def gated_group(text: Column, needle: str, pattern: str, group: int = 1) -> Column:

@@ -59,7 +59,7 @@ def account_label(code: Column) -> Column:
 
 
 def client_type(text: Column) -> Column:
-    return F.coalesce(txt.marked_group(text, CODE, CLIENT_TYPE), txt.gated_group(text, "KA0", CLIENT_TYPE_FALLBACK))
+    return F.coalesce(txt.first_group(text, CLIENT_TYPE), txt.gated_group(text, "KA0", CLIENT_TYPE_FALLBACK))
 
 
 def revenue_targets(text: Column) -> tuple[Column, Column]:
@@ -73,7 +73,7 @@ def revenue_targets(text: Column) -> tuple[Column, Column]:
 def extract_fields(docs: DataFrame, text: str = "text", name: str = "filename") -> DataFrame:
     """Eighteen columns per form: one projection of built-in expressions, no shuffle."""
     body = F.col(text)
-    code = txt.marked_group(body, CODE, CHANNEL)
+    code = txt.first_group(body, CHANNEL)
     year, month = revenue_targets(body)
     products = txt.keywords_in(body, PRODUCTS)
     number = lambda found: tolerant(found, "int")
@@ -82,8 +82,8 @@ def extract_fields(docs: DataFrame, text: str = "text", name: str = "filename")
         code.alias("ma_lh"),
         account_label(code).alias("label"),
         client_type(body).alias("loai_hinh_code"),
-        number(txt.marked_group(body, SHIP, SHIP_TO)).alias("num_ship_to"),
-        number(txt.marked_group(body, PERIOD, TERM)).alias("contract_months"),
+        number(txt.first_group(body, SHIP_TO)).alias("num_ship_to"),
+        number(txt.first_group(body, TERM)).alias("contract_months"),
         F.upper(txt.first_group(body, RENEWAL)).alias("auto_renew"),
         year.alias("revenue_target_year"),
         month.alias("revenue_target_month"),
@@ -95,7 +95,7 @@ def extract_fields(docs: DataFrame, text: str = "text", name: str = "filename")
         txt.first_label(body, COVERAGE, COVERAGE_DEFAULT).alias("geo_coverage"),
         number(txt.gated_group(body, PER_MONTH, FREQUENCY)).alias("order_freq_month"),
         txt.gated_group(body, FORM, NUMBER).alias("f1_number"),
-        txt.marked_group(body, DATED, EFFECTIVE).alias("effective_date"),
+        txt.first_group(body, EFFECTIVE).alias("effective_date"),
     )
 
 
