@@ -192,7 +192,9 @@ def _(t: Tables):
 # --- aggregates -------------------------------------------------------------------------------------------------
 
 
-@query("ag03_sums_and_distinct_count", f"SELECT {PRODUCT_COLS} FROM products", PRODUCTS, digits=5)
+# seven digits: at four or five, sums and percentages of the smallest tables lie on the edge of two roundings (2.703125), where the
+# order of a sum decides
+@query("ag03_sums_and_distinct_count", f"SELECT {PRODUCT_COLS.replace(', 5)', ', 7)')} FROM products", PRODUCTS, digits=7)
 def _(t: Tables):
     return bv.product_variance(valued(t)).drop("abs_var_pct")
 
