@@ -8,10 +8,10 @@ probability of being toxic, so the scores are probabilities without a second fit
 
 A document is the set of its words and word beginnings (ASCII letters folded, punctuation cut off) hashed to `1 << BITS`
 features. Only features clearly more frequent in examples than in unlabelled text (a z score) enter a model, so that rare
-words are not learned by heart. The classifiers are linear, trained in numpy on the driver from bounded samples: at most `positives` examples and `unlabelled`
-documents, those whose hashed ids are smallest, each as its feature ids. The sample bound is a parameter and the same at
-every size; scoring reads every whole text. `classifiers` models see different parts of the unlabelled sample and their
-probabilities are averaged.
+words are not learned by heart. The classifiers are linear, trained in numpy from bounded samples: at most `positives` examples and
+`unlabelled` documents, those whose hashed ids are smallest, each as its feature ids. The sample bound is a parameter and the same
+at every size; one task gathers the sample and fits the models, and the driver receives their weights alone. Scoring reads every
+whole text. `classifiers` models see different parts of the unlabelled sample and their probabilities are averaged.
 
 Labels, language, source and id are no input of a score. Defined cases: null and empty texts get the score of a text
 without words; repeated rows are scored alike; a document with several label rows is an example if one says so; rows
@@ -123,18 +123,42 @@ def fit(
     return Model(every, weights, np.array(biases))
 
 
-def sampled(docs: DataFrame, ids: DataFrame, text_col: str, id_col: str) -> list[np.ndarray]:
-    """Feature ids of the documents named by a bounded table of ids."""
+def sampled(docs: DataFrame, ids: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """(example, h, f): kind of a sampled document, hash of its id and its feature ids, for a bounded table (id, example)."""
 
     def extract(batches):
         for batch in batches:
             for low, high in chunks(batch.column("text")):
                 found, first = features(batch.column("text").slice(low, high - low))
-                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(found))], names=["f"])
+                lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(found))
+                kept = [batch.column(c).slice(low, high - low) for c in ("example", "h")]
+                yield pa.RecordBatch.from_arrays([*kept, lists], names=["example", "h", "f"])
 
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    rows = rows.join(F.broadcast(ids), "id").select("text").mapInArrow(extract, "f array<int>")
-    return [x.values.to_numpy() for x in rows.toArrow()["f"]]
+    rows = rows.join(F.broadcast(ids), "id").select("example", F.xxhash64("id").alias("h"), "text")
+    return rows.mapInArrow(extract, "example boolean, h bigint, f array<int>")
+
+
+def fitted(sample: DataFrame, prior: float, **options) -> Model:
+    """`fit` on a sample, in one task: only the model comes back."""
+
+    def learn(batches):
+        held: dict[bool, list[np.ndarray]] = {True: [], False: []}
+        for batch in batches:
+            flat, first = batch.column("f").flatten().to_numpy(), batch.column("f").offsets.to_numpy()
+            first = first - first[0] if len(first) else first
+            for i, example in enumerate(batch.column("example").to_pylist()):
+                held[example].append(flat[first[i] : first[i + 1]])
+        model = fit(held[True], held[False], prior, **options)
+        cells = [pa.array([x.tobytes()], pa.binary()) for x in (model.known.astype(np.int64), model.weights, model.bias)]
+        yield pa.RecordBatch.from_arrays(cells, names=["known", "weights", "bias"])
+
+    order = sample.repartition(1).sortWithinPartitions("example", "h", "f")  # the same order on every run
+    row = order.mapInArrow(learn, "known binary, weights binary, bias binary").first()
+    if row is None:
+        return fit([], [], prior)
+    known, weights, bias = (np.frombuffer(row[c], t) for c, t in (("known", np.int64), ("weights", np.float64), ("bias", np.float64)))
+    return Model(known, weights.reshape(len(bias), len(known)), bias)
 
 
 def held_out(id_col: str) -> Column:
@@ -153,7 +177,8 @@ def train(
     first = F.xxhash64("id")
     examples = seen.filter("toxic = 1 and id is not null").orderBy(first).limit(positives).select("id")
     others = docs.filter(~held_out(id_col)).select(ident).filter("id is not null").distinct().orderBy(first).limit(unlabelled)
-    return fit(sampled(docs, examples, text_col, id_col), sampled(docs, others, text_col, id_col), prior, **options)
+    ids = examples.withColumn("example", F.lit(True)).unionByName(others.withColumn("example", F.lit(False)))
+    return fitted(sampled(docs, ids, text_col, id_col), prior, **options)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
