@@ -4,8 +4,8 @@ The tree is fitted on the driver from at most `sample` vectors (those with the s
 that sample. Every vector of the table descends to the leaf of the nearest centres. A query walks the tree with a priority
 queue of centres by distance, opening the nearest next, and visits leaves in that order; how many is calibrated: for
 `probes` queries the exact neighbours are found by comparing them with every row, and the number of leaves is raised until
-`recall` of those neighbours lie in visited leaves. A query goes on beyond that number while its leaves hold too few
-vectors.
+`recall` of those neighbours lie in visited leaves. A query goes on beyond that number while its leaves may hold too few
+different ids.
 
 Vectors and visiting queries meet in bins of about `bin_rows` vectors: small neighbouring leaves share a bin, and a leaf with
 more is cut into bins by a hash of the id, so a vector that a third of all rows repeat fills many. Each bin compares a query with
@@ -215,6 +215,9 @@ def search(
 
     placed = rows.mapInArrow(place, "leaf bigint, id bigint, v array<double>")
     filled = {r["leaf"]: r["n"] for r in placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per leaf
+    # ids counted in the smallest of their leaves: visited leaves hold at least as many different ids as these sums say
+    owned = placed.groupBy("id").agg(F.min("leaf").alias("leaf")).groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
+    different = {r["leaf"]: r["n"] for r in owned.collect()}  # one row per leaf
     shard, bins, held_rows, number = np.zeros(tree.leaves, np.int64), [1], 0, 0
     for leaf in range(tree.leaves):
         n = filled.get(leaf, 0)
@@ -234,7 +237,7 @@ def search(
                 for turn, leaf in enumerate(tree.visits(points[i])):
                     if turn >= visits and held > 2 * k:
                         break
-                    held += filled.get(leaf, 0)
+                    held += different.get(leaf, 0)
                     seen.setdefault(int(shard[leaf]), []).append(leaf)
                 for s, leaves in seen.items():
                     for b in range(bins[s]):

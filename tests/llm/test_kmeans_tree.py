@@ -82,3 +82,16 @@ def test_visits_reach_every_leaf_once():
     assert sorted(tree.visits(points[0])) == list(range(tree.leaves))
     first = [next(tree.visits(p)) for p in points]
     assert np.mean(np.array(first) == tree.assign(points)) > 0.9
+
+
+def test_one_id_that_fills_the_nearest_leaves(spark):
+    """Thousands of rows of one id around a query leave room for nine others."""
+    rng = np.random.default_rng(9)
+    good = [(7, rng.normal(size=4)) for _ in range(3000)] + [(100, np.zeros(4) + 0.01)]
+    good += [(1000 + i, rng.normal(size=4) * 0.1 + 40 + i) for i in range(1, 30)]
+    rows = [(i, [float(np.float32(c)) for c in v]) for i, v in good]
+    got = {}
+    for r in kt.search(frame(spark, rows), k=10).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    found = [vec for _, vec in sorted(got[100])]
+    assert found[0] == 7 and len(found) == 10 and len(set(found)) == 10
