@@ -18,7 +18,9 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import forests
 from ledgerloom.operators.boosting import Boosted, boost
+from ledgerloom.operators.forests import Forest
 from ledgerloom.operators.logit import fit_parts, held_out_scores
 from ledgerloom.operators.ranks import hash_rank, range_order, ranged
 from ledgerloom.session import cut_lineage
@@ -101,10 +103,11 @@ def balanced_weight(df: DataFrame, label: str, name: str = "weight") -> DataFram
 def forest(
     train: DataFrame, features: Sequence[str], label: str, trees: int = TREES, seed: int = SEED, balanced: bool = True, depth: int = DEPTH
 ):
-    """Random forest; `depth` limits its trees. The reference has no limit, so the default is the largest that Spark takes."""
-    rows = balanced_weight(train, label) if balanced else train.withColumn("weight", F.lit(1.0))
-    rows = assembled(rows, features, [label, "weight"])
-    return RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed).fit(rows)
+    """Random forest; `depth` limits its trees. The reference has no limit, so the default is the largest that Spark takes.
+
+    Grown by `forests.fit`: Spark's own forest holds every node at the driver, and unlimited trees have as many as rows.
+    """
+    return forests.fit(assembled(train, features, [label]), features, label, balanced, trees, depth, seed)
 
 
 def tree(train: DataFrame, features: Sequence[str], label: str, depth: int = 5, seed: int = SEED):
@@ -120,6 +123,8 @@ def predict(model, df: DataFrame, features: Sequence[str], keep: Sequence[str],
     """keep columns + prediction (0/1) + score (probability of class 1)."""
     if isinstance(model, Boosted):
         return model.predict(df, keep)
+    if isinstance(model, Forest):
+        return model.predict(assembled(df, features, keep), keep)
     rows = assembled(scaler.apply(df) if scaler else df, features, keep)
     return model.transform(rows).select(
         *keep, F.col("prediction").cast("int").alias("prediction"), vector_to_array("probability")[1].alias("score")
