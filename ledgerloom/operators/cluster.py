@@ -24,8 +24,8 @@ from ledgerloom.operators.classify import Scaler
 from ledgerloom.operators.profile import group_medians, modes
 from ledgerloom.session import cut_lineage
 
-# Tried cluster counts, iterations, first seed, largest move of a centre that stands still.
-KS, MAX_ITER, SEED, TOLERANCE = (3, 4, 5), 500, 42, 1e-4
+# Tried cluster counts, iterations, first seed, largest move of a centre that stands still, rows of a matrix product.
+KS, MAX_ITER, SEED, TOLERANCE, SLICE = (3, 4, 5), 500, 42, 1e-4, 2000
 
 
 def _spread(x: np.ndarray) -> np.ndarray:
@@ -40,6 +40,38 @@ def _distances(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.stack([((points - c) ** 2).sum(axis=1) for c in centres], axis=1)
 
 
+def _assigned(sets: list[np.ndarray], first: np.ndarray):
+    """Scan for `Sweep._sums`: cost of each set, then rows and sums of features per cluster, from place `first` on.
+
+    Distances of a slice of rows from all centres are one matrix product, and so are the sums of its clusters.
+    """
+    alike: dict[int, list[int]] = {}
+    for i, c in enumerate(sets):
+        alike.setdefault(len(c), []).append(i)
+    stacks = [(k, of, np.concatenate([sets[i] for i in of])) for k, of in alike.items()]
+    halves = [(c**2).sum(axis=1)[:, None] / 2 for _, _, c in stacks]
+
+    def scan(points, total):
+        for begin in range(0, len(points), SLICE):
+            rows = points[begin : begin + SLICE]
+            square = float((rows**2).sum())
+            for (k, of, centres), half in zip(stacks, halves):
+                far = (half - centres @ rows.T).reshape(len(of), k, len(rows))  # half the squared distance, without the row's square
+                least, near = far[:, 0].copy(), np.zeros((len(of), len(rows)), np.int16)
+                for j in range(1, k):
+                    closer = far[:, j] < least
+                    near[closer] = j
+                    np.minimum(least, far[:, j], out=least)
+                own = (near[:, None] == np.arange(k, dtype=np.int16)[:, None]).astype(float)
+                sums = (own.reshape(-1, len(rows)) @ rows).reshape(len(of), k, -1)
+                sums = np.concatenate([own.sum(axis=2)[:, :, None], sums], axis=2)
+                for i, cost, block in zip(of, least.sum(axis=1), sums):
+                    total[first[i]] += square + 2 * cost
+                    total[first[i] + 1 : first[i] + 1 + block.size] += block.ravel()
+
+    return scan
+
+
 def _points(batch: pa.RecordBatch, width: int) -> np.ndarray:
     return np.column_stack([batch.column(f"x{i}").to_numpy(zero_copy_only=False).astype(float) for i in range(width)])
 
@@ -113,18 +145,7 @@ class Sweep:
                 break
             at = [sets[i] for i in live]
             first = np.cumsum([0] + [len(c) * (self.width + 1) + 1 for c in at])
-
-            def scan(points, total, at=at, first=first):
-                for c, start in zip(at, first):
-                    far = _distances(points, c)
-                    near = far.argmin(axis=1)
-                    total[start] += far[np.arange(len(points)), near].sum()
-                    block = total[start + 1 : start + 1 + c.size + len(c)].reshape(len(c), -1)
-                    block[:, 0] += np.bincount(near, minlength=len(c))
-                    for j in range(points.shape[1]):
-                        block[:, j + 1] += np.bincount(near, points[:, j], len(c))
-
-            found = self._sums(scan, int(first[-1]))
+            found = self._sums(_assigned(at, first), int(first[-1]))
             moving = []
             for i, start in zip(live, first):
                 old = sets[i]

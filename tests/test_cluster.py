@@ -109,3 +109,39 @@ def test_missing_values_repeated_rows_and_too_many_clusters(spark):
     assert got[2].inertia < 1e-9 and got[3].inertia < 1e-9 and got[2].silhouette == pytest.approx(1.0)
     with pytest.raises(ValueError):
         km.sweep(df.filter("id < 0"), ["f0", "f1"], ["id"])
+
+
+def test_a_pass_is_matrix_products():
+    """Costs, rows and sums of all sets as by plain distances, in less than half of their time."""
+    import time
+
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(6000, 28))
+    x[:50] = x[50:100]  # repeated rows
+    sets = [rng.normal(size=(k, 28)) for k in (3, 4, 5) for _ in range(20)]
+    first = np.cumsum([0] + [len(c) * 29 + 1 for c in sets])
+
+    def plain():
+        total = np.zeros(first[-1])
+        for c, start in zip(sets, first):
+            far = km._distances(x, c)
+            near = far.argmin(axis=1)
+            total[start] = far.min(axis=1).sum()
+            total[start + 1 : start + 1 + c.size + len(c)] = np.column_stack(
+                [np.bincount(near, minlength=len(c)), *[np.bincount(near, x[:, j], len(c)) for j in range(28)]]
+            ).ravel()
+        return total
+
+    def products():
+        total = np.zeros(first[-1])
+        km._assigned(sets, first)(x, total)
+        return total
+
+    assert products() == pytest.approx(plain(), rel=1e-9, abs=1e-8)
+    times = {}
+    for f in (plain, products):
+        began = time.process_time()
+        for _ in range(3):
+            f()
+        times[f.__name__] = time.process_time() - began
+    assert times["products"] < times["plain"] / 2, times
