@@ -78,17 +78,35 @@ def _subsets(rng: np.random.Generator, nodes: int, width: int, tried: int) -> np
 
 
 def best_cut(counts: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(gain, bin) of the best cut of each node from its counts, nodes by bins by classes; gain 0 where none gains."""
-    left = counts.cumsum(axis=1)
-    whole = left[:, -1:]
-    right = whole - left
-    held = (left.sum(axis=2) > 0) & (right.sum(axis=2) > 0)
-    squares = lambda a: np.divide((a**2).sum(axis=2), a.sum(axis=2), out=np.zeros(a.shape[:2]), where=a.any(axis=2))
+    """(gain, bin) of the best cut of each node from its counts, nodes by bins by classes; gain 0 where none gains.
+
+    Only bins that hold rows are weighed: a level of small nodes has far more bins than rows.
+    """
+    nodes, bins, classes = counts.shape
+    won, at = np.zeros(nodes), np.zeros(nodes, np.int64)
+    flat = counts.reshape(-1, classes)
+    cell = np.flatnonzero(sum(flat[:, k] for k in range(classes)))
+    if not len(cell):
+        return won, at
+    first = np.flatnonzero(np.diff(cell // bins, prepend=-1))  # first cell of each node that has rows
+    size = np.diff(first, append=len(cell))
+    last = first + size - 1
+    run = flat[cell].cumsum(axis=0)
+    before = run[first] - flat[cell[first]]
+    left = run - before.repeat(size, axis=0)
+    whole = run[last] - before
+    right = whole.repeat(size, axis=0) - left
+    squares = lambda a: np.divide((a**2).sum(axis=1), a.sum(axis=1), out=np.zeros(len(a)), where=a.any(axis=1))
     left, right, whole = left * weights, right * weights, whole * weights
-    gain = (squares(left) + squares(right) - squares(whole)) / np.maximum(whole.sum(axis=2), 1e-300)
-    gain = np.where(held & (gain > LEAST_GAIN), gain, 0.0)
-    cut = gain.argmax(axis=1)
-    return gain[np.arange(len(gain)), cut], cut
+    gain = (squares(left) + squares(right) - squares(whole).repeat(size)) / np.maximum(whole.sum(axis=1), 1e-300).repeat(size)
+    gain[last] = 0.0  # nothing is left on the right
+    gain = np.where(gain > LEAST_GAIN, gain, 0.0)
+    best = np.maximum.reduceat(gain, first)
+    hit = np.flatnonzero(gain == best.repeat(size))
+    place = hit[np.searchsorted(hit, first)]
+    node = cell[first] // bins
+    won[node], at[node] = best, np.where(best > 0, cell[place] % bins, 0)
+    return won, at
 
 
 @dataclass
@@ -160,15 +178,17 @@ def grow(bins: np.ndarray, y: np.ndarray, drawn: np.ndarray, depth: int, tried:
         place[mixed] = np.arange(len(mixed))
         use = place[node] >= 0
         bins, y, drawn, node = bins[use], y[use], drawn[use], place[node[use]]
-        order = node.argsort(kind="stable")
-        bins, y, drawn, node = bins[order], y[order], drawn[order], node[order]
+        if len(mixed) > CHUNK:
+            order = node.argsort(kind="stable")
+            bins, y, drawn, node = bins[order], y[order], drawn[order], node[order]
         for first in range(0, len(mixed), CHUNK):
             here = mixed[first : first + CHUNK]
-            rows = slice(*np.searchsorted(node, [first, first + len(here)]))
+            rows = slice(*np.searchsorted(node, [first, first + len(here)])) if len(mixed) > CHUNK else slice(None)
             local = node[rows] - first
             subset = _subsets(rng, len(here), width, tried)
+            flat, start_of = bins[rows].ravel(), np.arange(len(local)) * width
             for j in range(tried):
-                value = bins[rows][np.arange(len(local)), subset[local, j]]
+                value = flat[start_of + subset[local, j]]
                 found = np.bincount((local * BINS + value) * classes + y[rows], drawn[rows], len(here) * BINS * classes)
                 won, at = best_cut(found.reshape(len(here), BINS, classes), weights)
                 better = won > gain[here]

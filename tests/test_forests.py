@@ -1,5 +1,7 @@
 """Forest in tables: subtrees by brute force, upper nodes split in passes, draws, cuts, joined leaves, odd rows."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -30,6 +32,27 @@ def test_driver_gets_no_subtree(spark, monkeypatch):
     assert model.subtrees.agg(F.sum(F.size("feature"))).first()[0] > 100
 
 
+def test_best_cut_weighs_only_bins_with_rows():
+    """Nodes of few rows: the work follows the rows, not nodes times bins."""
+    rng = np.random.default_rng(5)
+    nodes, weights = 4096, np.array([0.8, 1.3])
+    counts = np.zeros((nodes, fo.BINS, 2))
+    np.add.at(counts, (rng.integers(0, nodes - 1, 9000), rng.integers(0, fo.BINS, 9000), rng.integers(0, 2, 9000)), 1.0)
+    tracemalloc.start()
+    gain, cut = fo.best_cut(counts, weights)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * counts.nbytes
+    gini = lambda s: 1 - ((s / s.sum()) ** 2).sum()
+    for node in (*range(200), nodes - 1):  # the last one has no rows
+        whole, best = counts[node].sum(axis=0) * weights, []
+        for b in range(fo.BINS):
+            a = counts[node, : b + 1].sum(axis=0) * weights
+            best.append(gini(whole) - (a.sum() * gini(a) + (whole - a).sum() * gini(whole - a)) / whole.sum() if 0 < a.sum() and counts[node, b + 1 :].any() else 0.0)
+        assert gain[node] == pytest.approx(max(best), abs=1e-12)
+        assert cut[node] == (next(b for b in range(fo.BINS) if best[b] > max(best) - 1e-12) if max(best) > 1e-12 else 0)
+
+
 def test_subtree_takes_the_best_cuts_of_its_rows():
     rng = np.random.default_rng(3)
     bins, y, drawn = rng.integers(0, 32, (300, 4)).astype(np.uint8), rng.integers(0, 3, 300), rng.integers(1, 4, 300).astype(float)
