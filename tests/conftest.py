@@ -3,6 +3,8 @@ import sys
 
 import pytest
 
+# Spark gives its Python tasks one BLAS thread; functions of a task that tests call directly get the same, before numpy is loaded
+os.environ.setdefault("OMP_NUM_THREADS", "1")
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
